@@ -60,7 +60,7 @@ def normalization_stats(result: Normalized) -> DataFrame:
         F.count_if(~F.coalesce(F.date_format("tx_timestamp", "yyyy-MM-dd HH:mm:ss") == F.col("_raw_tx_timestamp"), F.lit(False))).alias("timestamps_absorbed"),
         F.count_if(F.col("base_cncy") != F.col("_raw_base_cncy")).alias("currencies_absorbed"),
         F.count_if(~F.coalesce(F.col("_raw_amount").try_cast("decimal(18,4)") == F.col("amount"), F.lit(False))).alias("amounts_absorbed"),
-        F.count_if(F.col("c_id") != F.col("_raw_c_id")).alias("companies_absorbed"),
+        F.count_if(F.col("c_id").cast("string") != F.col("_raw_c_id")).alias("companies_absorbed"),
     )
     middle = exact_median(_scaled(clean, "amount", 4), "v").select(
         F.round((F.col("median") / 10000).cast("decimal(20,6)"), 2).alias("amount_median")
