@@ -1,14 +1,14 @@
-"""Parsers for dirty feed values, as native column expressions.
+"""Parsers for dirty feed columns, as native column expressions.
 
-Every parser takes text and yields NULL for what it cannot read, so that the rules of the
-quarantine see it; none of them leaves whole-stage code generation for Python.
+Every parser turns text into a typed column and yields NULL for what it cannot read, so that
+the quarantine rules see it; none of them leaves generated code for Python. Cleaned text
+that a parser looks at several times is its own column first: the optimizer keeps such a
+projection apart, so the cleaning runs once per row.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,101 +22,120 @@ _SERIAL = r"^\d{4,6}(\.\d+)?$"
 
 
 def strip(text: Column) -> Column:
-    return F.btrim(text, F.lit(_SPACE))
+    return F.btrim(text.cast("string"), F.lit(_SPACE))
 
 
-def parse_number(text: Column) -> Column:
-    """Plain decimal notation to double. Unlike a cast this refuses `12.5d` and `nan`."""
-    text = strip(text)
-    return F.when(
-        text.rlike(_NUMBER), F.replace(text, F.lit("_"), F.lit("")).try_cast("double")
-    )
+def number(name: str) -> str:
+    """SQL: plain decimal notation to double. Unlike a cast this refuses `12.5d` and `nan`."""
+    return f"if({name} rlike r'{_NUMBER}', try_cast(replace({name}, '_', '') as double), null)"
 
 
-def parse_timestamp(value: Column, data_type: T.DataType | None = None) -> Column:
-    """Text, spreadsheet serial or native timestamp to a UTC timestamp."""
-    if isinstance(data_type, T.TimestampType):
-        return value
-    if isinstance(data_type, (T.TimestampNTZType, T.DateType)):
-        # No zone given: ambiguous, so left to the quarantine.
-        return F.lit(None).cast("timestamp")
-    text = F.regexp_replace(strip(value.cast("string")), r"\s+", " ")
-    days = text.try_cast("double") - F.lit(refdata.SPREADSHEET_EPOCH_DAYS)
-    serial = F.timestamp_micros(F.round(days * F.lit(86_400_000_000)).cast("bigint"))
+def parse_numbers(df: DataFrame, column: str) -> DataFrame:
+    text = f"__{column}"
+    return df.withColumn(text, strip(F.col(column))).withColumn(column, F.expr(number(text))).drop(text)
 
-    by_shape = F.when(text.rlike(_SERIAL), serial)
-    for shape, pattern in refdata.TIMESTAMP_LAYOUTS:
-        by_shape = by_shape.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(pattern)))
 
+def _timestamp_sql(t: str) -> str:
+    serial = (
+        f"timestamp_micros(cast(round((try_cast({t} as double) - {refdata.SPREADSHEET_EPOCH_DAYS}) "
+        "* 86400000000) as bigint))"
+    )
+    shapes = [f"when {t} rlike r'{_SERIAL}' then {serial}"]
+    for shape, pattern in refdata.TIMESTAMP_LAYOUTS:
+        quoted = pattern.replace("'", "\\'")
+        shapes.append(f"when {t} rlike r'{shape}' then try_to_timestamp({t}, '{quoted}')")
     # Year-first text only: a bare time of day would be read as today's.
-    last = F.when(text.rlike(r"^\d{4}-\d{1,2}(-|$)"), text.try_cast("timestamp"))
+    last = [rf"when {t} rlike r'^\d{{4}}-\d{{1,2}}(-|$)' then try_cast({t} as timestamp)"]
     for shape, patterns in refdata.LAST_RESORT_LAYOUTS:
-        tries = [F.try_to_timestamp(text, F.lit(p)) for p in patterns]
-        last = last.when(text.rlike(shape), F.coalesce(*tries))
-    return F.coalesce(by_shape, last)
+        tries = ", ".join(f"try_to_timestamp({t}, '{p}')" for p in patterns)
+        last.append(f"when {t} rlike r'{shape}' then coalesce({tries})")
+    return f"coalesce(case {' '.join(shapes)} end, case {' '.join(last)} end)"
+
 
+def parse_timestamps(df: DataFrame, column: str = "tx_timestamp") -> DataFrame:
+    """Text, spreadsheet serial or native timestamp to a UTC timestamp."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.TimestampType):
+        return df
+    if isinstance(kind, (T.TimestampNTZType, T.DateType)):
+        # No zone given: ambiguous, so left to the quarantine.
+        return df.withColumn(column, F.lit(None).cast("timestamp"))
+    text = f"__{column}"
+    squeezed = F.regexp_replace(strip(F.col(column)), r"\s+", " ")
+    return df.withColumn(text, squeezed).withColumn(column, F.expr(_timestamp_sql(text))).drop(text)
 
-def resolve_currency(value: Column) -> Column:
+
+def resolve_currencies(df: DataFrame, columns: list[str]) -> DataFrame:
     """Any casing or known spelling of a currency to its code."""
-    pairs = [F.lit(x) for item in refdata.currency_aliases().items() for x in item]
-    return F.try_element_at(F.create_map(*pairs), F.lower(strip(value.cast("string"))))
+    known = ", ".join(f"'{a}', '{c}'" for a, c in refdata.currency_aliases().items())
+    codes = F.expr(f"map({known})")
+    return df.withColumns({c: F.try_element_at(codes, F.lower(strip(F.col(c)))) for c in columns})
 
 
-def parse_amount(value: Column, data_type: T.DataType | None = None) -> Column:
+def parse_amounts(df: DataFrame, column: str = "amount") -> DataFrame:
     """Amount text in US, European or spaced notation to a non-negative double.
 
     Negatives, accounting parentheses and a comma without a period (which may be either a
     decimal or a thousands mark) give NULL.
     """
-    if isinstance(data_type, T.NumericType):
-        number = value.cast("double")
-        return F.when((number >= 0) & ~F.isnan(number), number)
-    text = F.regexp_replace(strip(value.cast("string")), r"^[£$€¥₹\s]+", "")
-    comma, period = F.instr(text, ","), F.instr(text, ".")
-    refused = (
-        (text.startswith("(") & text.endswith(")"))
-        | text.startswith("-")
-        | ((comma > 0) & (period == 0))
+    if isinstance(df.schema[column].dataType, T.NumericType):
+        value = F.col(column).cast("double")
+        return df.withColumn(column, F.when((value >= 0) & ~F.isnan(value), value))
+    t, plain = f"__{column}", f"__{column}_plain"
+    bare = F.regexp_replace(strip(F.col(column)), r"^[£$€¥₹\s]+", "")
+    one_notation = f"""case
+        when (startswith({t}, '(') and endswith({t}, ')')) or startswith({t}, '-') then null
+        when instr({t}, ',') = 0 then {t}
+        when instr({t}, '.') = 0 then null
+        when instr({t}, ',') < instr({t}, '.') then replace({t}, ',', '')
+        else replace(replace({t}, '.', ''), ',', '.') end"""
+    return (
+        df.withColumn(t, bare)
+        .withColumn(plain, F.expr(f"replace({one_notation}, ' ', '')"))
+        .withColumn(column, F.expr(number(plain)))
+        .drop(t, plain)
     )
-    us = F.replace(text, F.lit(","), F.lit(""))
-    european = F.replace(F.replace(text, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
-    plain = F.when(comma == 0, text).when(comma < period, us).otherwise(european)
-    return F.when(~refused, parse_number(F.replace(plain, F.lit(" "), F.lit(""))))
 
 
-def parse_fee(fee: Column, amount: Column, data_type: T.DataType | None = None) -> Column:
+def parse_fees(df: DataFrame, column: str = "fee_amount", amount: str = "amount") -> DataFrame:
     """Fee in money or as `p%` of the amount, to decimal(16,4).
 
     Missing or unreadable fees are 0; a fee above its amount has no value.
     """
-    as_money = "decimal(18,4)"
-    if isinstance(data_type, T.NumericType):
-        value = F.coalesce(F.nanvl(fee.cast("double"), F.lit(0.0)), F.lit(0.0)).try_cast(as_money)
+    money = "decimal(18,4)"
+    text, value = f"__{column}", f"__{column}_value"
+    if isinstance(df.schema[column].dataType, T.NumericType):
+        known = f"coalesce(try_cast(nanvl(cast({column} as double), 0) as {money}), 0)"
     else:
-        text = strip(fee.cast("string"))
-        percent = parse_number(F.regexp_replace(text, "%+$", "")).try_cast("decimal(12,6)")
-        base = F.coalesce(amount.try_cast(as_money), F.lit(0).cast(as_money))
-        share = F.round(base * percent / 100, 4).try_cast(as_money)
-        value = F.coalesce(
-            F.when(text.endswith("%"), share).otherwise(parse_number(text).try_cast(as_money)),
-            F.lit(0).cast(as_money),
+        df = df.withColumn(text, strip(F.col(column))).withColumn(
+            value, F.regexp_replace(text, "%+$", "")
+        )
+        percent = f"try_cast({number(value)} as decimal(12,6))"
+        share = f"try_cast(round(coalesce(try_cast({amount} as {money}), 0) * {percent} / 100, 4) as {money})"
+        known = (
+            f"coalesce(if(endswith({text}, '%'), {share}, try_cast({number(text)} as {money})), 0)"
         )
-    exceeds = F.coalesce(value > amount.try_cast(as_money), F.lit(False))
-    return F.when(~exceeds, value).try_cast("decimal(16,4)")
+    return (
+        df.withColumn(value, F.expr(f"cast({known} as {money})"))
+        .withColumn(
+            column,
+            F.expr(
+                f"if(coalesce({value} > try_cast({amount} as {money}), false), null, "
+                f"try_cast({value} as decimal(16,4)))"
+            ),
+        )
+        .drop(text, value)
+    )
 
 
-def uuid_text(value: Column) -> Column:
+def uuid_text(column: str) -> Column:
     """Canonical lower-case text of any accepted UUID spelling, else NULL."""
-    digits = F.regexp_replace(strip(value.cast("string")), r"urn:|uuid:|[{}-]", "")
-    parts = [F.substring(digits, start, n) for start, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
-    return F.when(digits.rlike("^[0-9a-fA-F]{32}$"), F.lower(F.concat_ws("-", *parts)))
+    digits = F.regexp_replace(strip(F.col(column)), r"urn:|uuid:|[{}-]", "")
+    dashed = F.regexp_replace(F.lower(digits), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
+    return F.when(digits.rlike("^[0-9a-fA-F]{32}$"), dashed)
 
 
-def integer_text(value: Column) -> Column:
+def integer_text(column: str) -> Column:
     """Trimmed digits, else NULL: the id form of tables keyed by integers."""
-    text = strip(value.cast("string"))
+    text = strip(F.col(column))
     return F.when(text.rlike(r"^\d{1,18}$"), text)
-
-
-def any_of(predicates: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, predicates)

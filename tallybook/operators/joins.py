@@ -39,6 +39,17 @@ def attach(
     return spread_join(left, keyed, [(c, n) for n, (c, _) in zip(names, on)], how).drop(*names)
 
 
+def lookup(
+    left: DataFrame, dim: DataFrame, on: list[tuple[str, str]], columns: list[str], how: str = "inner"
+) -> DataFrame:
+    """`attach` for a left side that is already aggregated to about one row per key: neither
+    side dwarfs the other, so the choice is left to run-time sizes."""
+    names = [f"__k{i}" for i in range(len(on))]
+    keyed = dim.select(*[F.col(d).alias(n) for n, (_, d) in zip(names, on)], *columns)
+    match = [left[c] == keyed[n] for n, (c, _) in zip(names, on)]
+    return left.join(keyed, reduce(Column.__and__, match), how).drop(*names)
+
+
 def spread_join(
     left: DataFrame, right: DataFrame, on: list[tuple[str, str]], how: str
 ) -> DataFrame:

@@ -46,7 +46,8 @@ RULES = [
 
 @dataclass(frozen=True)
 class Normalized:
-    """`annotated` has every input row with its violations; the others are views of it."""
+    """`annotated` has every input row, its text before parsing and its number of broken
+    rules; `clean` has the rows without any, `quarantine` one row per violation."""
 
     annotated: DataFrame
     clean: DataFrame
@@ -76,9 +77,8 @@ def resolve_company_ids(
     df: DataFrame, names: DataFrame, valid_id=parsing.uuid_text, column: str = "c_id"
 ) -> DataFrame:
     """Valid ids pass, names are looked up in `names` (name in upper case, id), else NULL."""
-    valid = valid_id(F.col(column))
-    named = df.withColumn("__valid", valid).withColumn(
-        "__name", F.when(F.col("__valid").isNull(), F.upper(parsing.strip(F.col(column).cast("string"))))
+    named = df.withColumn("__valid", valid_id(column)).withColumn(
+        "__name", F.when(F.col("__valid").isNull(), F.upper(parsing.strip(F.col(column))))
     )
     found = joins.attach(named, names, [("__name", "name")], ["id"])
     return found.withColumn(column, F.coalesce("__valid", "id")).drop("__valid", "__name", "id")
@@ -91,54 +91,58 @@ def coerce_types(df: DataFrame) -> DataFrame:
     return df.withColumns({"amount": amount, "fee_amount": fee})
 
 
-def violations(rules: list[Rule], dirty: dict[str, str]) -> Column:
-    """Array with one (code, reason, dirty value) per broken rule."""
-    tests = []
-    for rule in rules:
-        source = dirty.get(rule.dirty_column) if rule.dirty_column else None
-        value = F.col(source).cast("string") if source else F.lit(None).cast("string")
-        entry = F.struct(
-            F.lit(rule.code).alias("failure_code"),
-            F.lit(rule.reason).alias("failure_reason"),
-            value.alias("dirty_value"),
-        )
-        tests.append(F.when(F.coalesce(F.expr(rule.broken), F.lit(True)), entry))
-    return F.filter(F.array(*tests), lambda v: v.isNotNull())
+def broken_rules(rules: list[Rule]) -> Column:
+    """How many rules a row violates."""
+    return F.expr(" + ".join(f"if(coalesce({r.broken}, true), 1, 0)" for r in rules) or "0")
 
 
-def split_quarantine(df: DataFrame, rules: list[Rule] | None = None, dirty: dict[str, str] | None = None):
-    """(clean, quarantine): quarantine has one row per violation, clean no violating row.
+def explode_violations(
+    df: DataFrame, kept: list[str], rules: list[Rule], dirty: dict[str, str] | None = None
+) -> DataFrame:
+    """One row per broken rule: the `kept` columns plus code, reason and dirty value.
 
     `dirty` names, per canonical column, the column holding its text before parsing.
     """
-    dirty = dirty or {}
-    kept = [c for c in df.columns if c not in dirty.values()]
-    checked = df.withColumn("__violations", violations(RULES if rules is None else rules, dirty))
-    clean = checked.where(F.size("__violations") == 0).select(*kept)
-    quarantine = checked.select(*kept, F.explode("__violations").alias("__v")).select(*kept, "__v.*")
-    return clean, quarantine
+    entries = []
+    for rule in rules:
+        source = (dirty or {}).get(rule.dirty_column) if rule.dirty_column else None
+        entries.append(
+            F.when(
+                F.coalesce(F.expr(rule.broken), F.lit(True)),
+                F.struct(
+                    F.lit(rule.code).alias("failure_code"),
+                    F.lit(rule.reason).alias("failure_reason"),
+                    (F.col(source) if source else F.lit(None)).cast("string").alias("dirty_value"),
+                ),
+            )
+        )
+    exploded = df.select(*kept, F.explode(F.array(*entries)).alias("__v"))
+    return exploded.where("__v is not null").select(*kept, "__v.*")
+
+
+def split_quarantine(
+    df: DataFrame, rules: list[Rule] | None = None, dirty: dict[str, str] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(clean, quarantine): quarantine has one row per violation, clean no violating row."""
+    rules = RULES if rules is None else rules
+    kept = [c for c in df.columns if c not in (dirty or {}).values()]
+    clean = df.where(broken_rules(rules) == 0).select(*kept)
+    return clean, explode_violations(df, kept, rules, dirty)
+
+
+_DIRTY = {c: f"_raw_{c}" for c in ("c_id", "amount", "base_cncy", "tx_timestamp")}
 
 
 def parse_feed(df: DataFrame, names: DataFrame, valid_id=parsing.uuid_text) -> DataFrame:
-    """All parsers in one projection; the text before parsing stays in `_raw_*` columns."""
+    """All parsers in one chain of projections; the text before parsing stays in `_raw_*`."""
     df = rename_columns(df)
     if "quote_cncy" not in df.columns:
         df = df.withColumn("quote_cncy", F.lit(None).cast("string"))
-    kind = {f.name: f.dataType for f in df.schema}
-    sources = ["c_id", "amount", "base_cncy", "tx_timestamp"]
-    parsed = df.withColumns(
-        {
-            **{f"_raw_{c}": F.col(c) for c in sources},
-            "tx_timestamp": parsing.parse_timestamp(F.col("tx_timestamp"), kind["tx_timestamp"]),
-            "base_cncy": parsing.resolve_currency(F.col("base_cncy")),
-            "quote_cncy": parsing.resolve_currency(F.col("quote_cncy")),
-            "amount": parsing.parse_amount(F.col("amount"), kind["amount"]),
-        }
-    )
-    parsed = resolve_company_ids(parsed, names, valid_id)
-    return parsed.withColumn(
-        "fee_amount", parsing.parse_fee(F.col("fee_amount"), F.col("amount"), kind["fee_amount"])
-    )
+    df = df.withColumns({raw: F.col(c) for c, raw in _DIRTY.items()})
+    df = parsing.parse_timestamps(df)
+    df = parsing.resolve_currencies(df, ["base_cncy", "quote_cncy"])
+    df = parsing.parse_fees(parsing.parse_amounts(df))
+    return resolve_company_ids(df, names, valid_id)
 
 
 def normalize_receipts(
@@ -148,13 +152,13 @@ def normalize_receipts(
     valid_id=parsing.uuid_text,
 ) -> Normalized:
     """Rename, parse, coerce and split one feed. Columns beyond the canonical ones pass."""
-    parsed = parse_feed(df, names, valid_id)
-    dirty = {c: f"_raw_{c}" for c in ("c_id", "amount", "base_cncy", "tx_timestamp")}
-    # Rules see the parsed double, so an amount below the stored precision still counts as positive.
-    found = parsed.withColumn("violations", violations(RULES if rules is None else rules, dirty))
-    annotated = coerce_types(found)
-    extra = [c for c in df.columns if c in annotated.columns and c not in CANONICAL]
+    rules = RULES if rules is None else rules
+    # Rules see the parsed double, so an amount below the stored precision still counts as
+    # positive. The parsed values stay apart from the coerced ones until the rules have run.
+    parsed = parse_feed(df, names, valid_id).withColumn("broken", broken_rules(rules))
+    extra = [c for c in df.columns if c in parsed.columns and c not in CANONICAL]
     kept = CANONICAL + extra
-    clean = annotated.where(F.size("violations") == 0).select(*kept)
-    quarantine = annotated.select(*kept, F.explode("violations").alias("__v")).select(*kept, "__v.*")
-    return Normalized(annotated, clean, quarantine)
+    annotated = coerce_types(parsed)
+    clean = annotated.where("broken = 0").select(*kept)
+    violating = explode_violations(parsed.where("broken > 0"), kept, rules, _DIRTY)
+    return Normalized(annotated, clean, coerce_types(violating))

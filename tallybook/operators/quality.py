@@ -34,11 +34,11 @@ def normalization_stats(result: Normalized) -> DataFrame:
     A field counts as rescued in a clean row when its text was not already canonical.
     """
     rows = result.annotated
-    broken = F.size("violations") > 0
+    broken = F.col("broken") > 0
     volume = rows.agg(
         F.count(F.lit(1)).alias("input_rows"),
         F.count_if(~broken).alias("clean_rows"),
-        F.sum(F.size("violations")).alias("violation_records"),
+        F.sum("broken").alias("violation_records"),
     )
     # Distinct transactions: grouped first, so a repeated id is one row per map task.
     quarantined = (

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tallybook import refdata
 from tallybook.functions import ids
 from tallybook.operators import joins
-from tallybook.operators.normalize import RULES, Rule, violations
+from tallybook.operators.normalize import RULES, Rule, broken_rules, explode_violations
 
 EVENT_COLUMNS = [
     "quarantine_id", "tx_id", "c_id", "base_cncy", "quote_cncy", "amount", "fee_amount",
@@ -85,12 +85,8 @@ def raw_violations(
     checked = joins.attach(raw, known, [("c_id", "c_id")], ["__company"])
     checked = joins.attach(checked, codes, [("base_cncy", "cncy_code")], ["__currency"])
     checked = joins.attach_group_size(checked, ["tx_id"], "__copies")
-    broken = violations(RAW_RULES if rules is None else rules, {})
-    return (
-        checked.withColumn("__v", F.explode(broken))
-        .select(*raw.columns, "__v.failure_code", "__v.failure_reason")
-        .withColumn("source", F.lit("sql_layer"))
-    )
+    exploded = explode_violations(checked, raw.columns, RAW_RULES if rules is None else rules)
+    return exploded.drop("dirty_value").withColumn("source", F.lit("sql_layer"))
 
 
 def quarantine_log(
@@ -301,9 +297,7 @@ def resolve(
         if value is not None:
             rows = rows.withColumn(name, F.lit(value).cast(types[name]))
     once = joins.dedupe(rows, ["tx_id"]).withColumn("ingestion_timestamp", now)
-    checked = once.withColumn("__violations", violations(RULES if rules is None else rules, {}))
-    good = checked.where(F.size("__violations") == 0).drop("__violations")
-    bad = checked.select("*", F.explode("__violations").alias("__v")).select(
-        *once.columns, "__v.failure_code", "__v.failure_reason"
-    )
+    rules = RULES if rules is None else rules
+    good = once.where(broken_rules(rules) == 0)
+    bad = explode_violations(once, once.columns, rules).drop("dirty_value")
     return Resolution(good, bad, audit)

@@ -53,22 +53,20 @@ def _add(name: str, plan: Callable[[Domain], DataFrame], columns: str, sql: str
 
 _add(
     "parse_timestamp",
-    lambda d: d.dirty_feed.select("tx_id", parsing.parse_timestamp(F.col("tx_timestamp")).alias("parsed")),
+    lambda d: parsing.parse_timestamps(d.dirty_feed).withColumnRenamed("tx_timestamp", "parsed"),
     "tx_id:l parsed:t",
     "select tx_id, tx_timestamp as parsed from parsed",
 )
 _add(
     "parse_amount",
-    lambda d: d.dirty_feed.select("tx_id", parsing.parse_amount(F.col("amount")).alias("parsed")),
+    lambda d: parsing.parse_amounts(d.dirty_feed).withColumnRenamed("amount", "parsed"),
     "tx_id:l parsed:d",
     "select tx_id, amount as parsed from parsed",
 )
 _add(
     "resolve_currency",
-    lambda d: d.dirty_feed.select(
-        "tx_id",
-        parsing.resolve_currency(F.col("base_cncy")).alias("base"),
-        parsing.resolve_currency(F.col("quote_cncy")).alias("quote"),
+    lambda d: parsing.resolve_currencies(d.dirty_feed, ["base_cncy", "quote_cncy"]).withColumnsRenamed(
+        {"base_cncy": "base", "quote_cncy": "quote"}
     ),
     "tx_id:l base:s quote:s",
     "select tx_id, base_cncy as base, quote_cncy as quote from parsed",
@@ -83,9 +81,7 @@ _add(
 )
 _add(
     "parse_fee",
-    lambda d: d.dirty_feed.select(
-        "tx_id", parsing.parse_fee(F.col("fee_amount"), parsing.parse_amount(F.col("amount"))).alias("fee")
-    ),
+    lambda d: parsing.parse_fees(parsing.parse_amounts(d.dirty_feed)).withColumnRenamed("fee_amount", "fee"),
     "tx_id:l fee:d",
     """select tx_id, case when fee_value > cast(amount as decimal(18,4)) then null else fee_value end as fee from fees""",
 )

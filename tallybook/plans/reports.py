@@ -43,8 +43,8 @@ def volume_by_company(tx: DataFrame, companies: DataFrame, industries: DataFrame
         _money("amount", "total_volume_usd"),
         numbers.exact_avg(F.col("amount"), 2).alias("avg_tx_usd"),
     )
-    named = joins.attach(totals, companies, _COMPANY, ["c_name", "hq_country", "industry_id"], "inner")
-    named = joins.attach(named, industries, _INDUSTRY, ["name"], "inner")
+    named = joins.lookup(totals, companies, _COMPANY, ["c_name", "hq_country", "industry_id"], "inner")
+    named = joins.lookup(named, industries, _INDUSTRY, ["name"], "inner")
     return named.select(
         "c_id", "c_name", F.col("name").alias("industry"), "hq_country", "tx_count", "total_volume_usd", "avg_tx_usd"
     ).orderBy(F.desc("total_volume_usd"), "c_id")
@@ -67,7 +67,7 @@ def conversion_rate_by_pair(tx: DataFrame, conversions: DataFrame, fx: DataFrame
     linked = tx.select("tx_id").join(conversions.select("tx_id", "cx_id", "fx_id"), "tx_id", "left")
     # Rates are distinct values; per-rate counts are joined instead of per-transaction rows.
     per_rate = linked.groupBy("fx_id").agg(F.count("tx_id").alias("t"), F.count("cx_id").alias("c"))
-    paired = joins.attach(per_rate, fx, [("fx_id", "fx_id")], ["base_cncy", "quote_cncy"])
+    paired = joins.lookup(per_rate, fx, [("fx_id", "fx_id")], ["base_cncy", "quote_cncy"], "left")
     totals = paired.groupBy("base_cncy", "quote_cncy").agg(
         F.sum("t").alias("total_tx"), F.sum("c").alias("converted_tx")
     )
@@ -88,7 +88,7 @@ def fee_burden_by_company(tx: DataFrame, conversions: DataFrame, companies: Data
         numbers.exact_avg(F.col("fee_amount"), 4).alias("avg_fee_usd"),
         numbers.exact_avg(share.cast("decimal(28,14)"), 4).alias("avg_fee_pct"),
     )
-    named = joins.attach(totals, companies, _COMPANY, ["c_name"], "inner")
+    named = joins.lookup(totals, companies, _COMPANY, ["c_name"], "inner")
     return named.select("c_id", "c_name", "conversion_count", "avg_fee_usd", "avg_fee_pct").orderBy(
         F.desc("avg_fee_pct"), "c_id"
     )
@@ -214,7 +214,7 @@ def total_fees_by_company(tx: DataFrame, conversions: DataFrame, companies: Data
     totals = _converted_company(tx, conversions).groupBy("c_id").agg(
         F.count("cx_id").alias("conversion_count"), _money("fee_amount", "total_fees_usd")
     )
-    named = joins.attach(totals, companies, _COMPANY, ["c_name"], "inner")
+    named = joins.lookup(totals, companies, _COMPANY, ["c_name"], "inner")
     return named.select("c_id", "c_name", "conversion_count", "total_fees_usd").orderBy(
         F.desc("total_fees_usd"), "c_id"
     )
@@ -256,7 +256,7 @@ def currency_value_in_usd(tx: DataFrame, ticks: DataFrame, currency: str = "EUR"
 
 def company_revenue_by_currency(tx: DataFrame, companies: DataFrame) -> DataFrame:
     totals = tx.groupBy("c_id", "cncy").agg(_money("amount", "total_revenue"))
-    named = joins.attach(totals, companies, _COMPANY, ["c_name"], "inner")
+    named = joins.lookup(totals, companies, _COMPANY, ["c_name"], "inner")
     return named.select("c_id", "c_name", "cncy", "total_revenue").orderBy("c_name", "cncy")
 
 
