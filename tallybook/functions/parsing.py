@@ -42,8 +42,8 @@ def _timestamp_sql(t: str) -> str:
     )
     shapes = [f"when {t} rlike r'{_SERIAL}' then {serial}"]
     for shape, pattern in refdata.TIMESTAMP_LAYOUTS:
-        quoted = pattern.replace("'", "\\'")
-        shapes.append(f"when {t} rlike r'{shape}' then try_to_timestamp({t}, '{quoted}')")
+        read = f"try_to_timestamp({t}, '{pattern}')" if pattern else f"try_cast({t} as timestamp)"
+        shapes.append(f"when {t} rlike r'{shape}' then {read}")
     # Year-first text only: a bare time of day would be read as today's.
     last = [rf"when {t} rlike r'^\d{{4}}-\d{{1,2}}(-|$)' then try_cast({t} as timestamp)"]
     for shape, patterns in refdata.LAST_RESORT_LAYOUTS:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -150,12 +151,19 @@ def normalize_receipts(
     names: DataFrame,
     rules: list[Rule] | None = None,
     valid_id=parsing.uuid_text,
+    stage: Callable[[DataFrame], DataFrame] | None = None,
 ) -> Normalized:
-    """Rename, parse, coerce and split one feed. Columns beyond the canonical ones pass."""
+    """Rename, parse, coerce and split one feed. Columns beyond the canonical ones pass.
+
+    Clean rows and quarantine are two reads of the parsed rows. `stage`, for example
+    `session.materialize`, stores those once so that the feed is parsed once.
+    """
     rules = RULES if rules is None else rules
     # Rules see the parsed double, so an amount below the stored precision still counts as
     # positive. The parsed values stay apart from the coerced ones until the rules have run.
     parsed = parse_feed(df, names, valid_id).withColumn("broken", broken_rules(rules))
+    if stage is not None:
+        parsed = stage(parsed)
     extra = [c for c in df.columns if c in parsed.columns and c not in CANONICAL]
     kept = CANONICAL + extra
     annotated = coerce_types(parsed)

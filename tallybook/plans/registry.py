@@ -6,16 +6,30 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tallybook import refdata
 from tallybook.functions import ids, parsing
-from tallybook.operators import asof, conversion, industry, joins, normalize, quality, quarantine, star
-from tallybook.plans import reports
+from tallybook.operators import (
+    asof,
+    clustering,
+    conversion,
+    features,
+    industry,
+    normalize,
+    quality,
+    quarantine,
+    star,
+)
+from tallybook.plans import promote, reports
 from tallybook.plans.domain import Domain
-from tallybook.plans.oracle import SUBQUERIES, avg_money, growth, ratio, statement, surrogate_sql, uuid5_sql
+from tallybook.plans.oracle import avg_money, growth, ratio, statement, surrogate_sql, uuid5_sql
+from tallybook.session import materialize, scratch_path
+from tallybook.sources import landing
+from tallybook.sources.tables import TableStore
+from tallybook.streaming import batches, ticks
 
 _SPARK_TYPES = {"l": "bigint", "s": "string", "d": "double", "t": "timestamp_ntz", "b": "boolean"}
 
@@ -873,3 +887,301 @@ _add(
        union all select 'analytics.f_conversion', count(*) from cx
        union all select 'analytics.f_fx_rate', count(*) from fx_dim""",
 )
+
+# --- machine learning on quarantine records --------------------------------
+
+_REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+_NATIONS = sorted(f"NATION_{i}" for i in range(25))
+_FEATURES = [
+    *features.TEMPORAL, *features.BATCH, *[features.slug("industry", r) for r in _REGIONS],
+    *[features.slug("country", n) for n in _NATIONS], *features.COMPANY,
+]
+
+
+def _feature_rows(d: Domain) -> DataFrame:
+    return features.quarantine_features(d.quarantine_events, d.pipeline_runs, d.companies, d.industries)
+
+
+def _matrix(d: Domain) -> DataFrame:
+    derived = features.derive(_feature_rows(d))
+    return features.fit(derived, _REGIONS, _NATIONS).transform(derived)
+
+
+_FEATURE_ROWS_SQL = """select q.quarantine_id, q.failure_code, q.failure_count, q.tx_timestamp, q.ingestion_timestamp, q.amount,
+    q.base_cncy, q.c_id, p.noise_level, p.clean_count, p.quarantine_count, c.default_cncy, c.hq_country, i.name as industry_name
+    from quarantine_event q left join pipeline_run p on q.batch_id = p.batch_id
+    left join d_company c on q.c_id = c.c_id left join d_industry i on c.industry_id = i.industry_id"""
+_add(
+    "quarantine_features",
+    _feature_rows,
+    "quarantine_id:s failure_code:s failure_count:l tx_timestamp:t ingestion_timestamp:t amount:d base_cncy:s c_id:l "
+    "noise_level:s clean_count:l quarantine_count:l default_cncy:s hq_country:s industry_name:s",
+    _FEATURE_ROWS_SQL,
+)
+
+
+def _scaled_sql(name: str) -> str:
+    return f"coalesce(({name} - min({name}) over ()) / nullif(max({name}) over () - min({name}) over (), 0), 0) as {name}"
+
+
+def _matrix_sql() -> str:
+    derived = f"""select quarantine_id, failure_code, cast(failure_count as double) as failure_count,
+        coalesce((epoch_us(ingestion_timestamp) - epoch_us(tx_timestamp)) / 1000000.0::double, 0) as tx_ingestion_lag,
+        case when tx_timestamp is null then 1 else 0 end as tx_timestamp_missing,
+        cast(hour(tx_timestamp) as double) as hour_raw, cast(isodow(tx_timestamp) - 1 as double) as day_raw,
+        cast(case noise_level when 'low' then 0 when 'medium' then 1 when 'high' then 2 end as double) as noise_level,
+        cast(quarantine_count as double) / nullif(clean_count + quarantine_count, 0) as batch_quarantine_rate,
+        case when base_cncy <> default_cncy then 1 else 0 end as currency_mismatch,
+        coalesce(cast(amount as double), 0) as amount, case when amount > 0 then 1 else 0 end as amount_is_valid,
+        case when c_id is not null then 1 else 0 end as company_known, industry_name, hq_country from ({_FEATURE_ROWS_SQL}) f"""
+    filled = f"""select *, coalesce(hour_raw, median(hour_raw) over ()) as hour_of_day,
+        coalesce(day_raw, median(day_raw) over ()) as day_of_week from ({derived}) d"""
+    onehot = [
+        f"case when industry_name = '{r}' then 1 else 0 end as {features.slug('industry', r)}" for r in _REGIONS
+    ] + [f"case when hq_country = '{n}' then 1 else 0 end as {features.slug('country', n)}" for n in _NATIONS]
+    scaled = [_scaled_sql(n) for n in features.SCALED]
+    return f"""select quarantine_id, failure_code, tx_timestamp_missing, currency_mismatch, amount_is_valid, company_known,
+        {', '.join(scaled)}, {', '.join(onehot)} from ({filled}) g"""
+
+
+_MATRIX = "quarantine_id:s failure_code:s " + " ".join(f"{c}:d" for c in _FEATURES)
+_add("ml_feature_matrix", _matrix, _MATRIX, _matrix_sql())
+_add(
+    "ml_split",
+    lambda d: features.split_by_company(_matrix(d))[1],
+    _MATRIX,
+    f"select * from ({_matrix_sql()}) m where company_known = 0",
+)
+
+
+def _known(d: Domain) -> DataFrame:
+    """Records of known companies, written once because the fits below read them many times."""
+    return materialize(features.split_by_company(_matrix(d))[0], "matrix")
+
+
+def _projected(d: Domain) -> DataFrame:
+    known = _known(d)
+    return materialize(clustering.fit_components(known, _FEATURES, k=11).transform(known), "components")
+
+
+def _clustered(projected: DataFrame) -> DataFrame:
+    return clustering.best_kmeans(projected, 3).transform(projected)
+
+
+def _targeted(projected: DataFrame) -> DataFrame:
+    """Clusters on the second and third component only."""
+    picked = clustering.pick_components(projected, [1, 2])
+    return clustering.best_kmeans(picked, 3, "picked").transform(picked)
+
+
+_add(
+    "ml_pca_variance",
+    lambda d: clustering.variance_table(d.spark, clustering.fit_components(_known(d), _FEATURES)),
+    "component:l variance_ratio:d cumulative:d",
+)
+_add(
+    "ml_loadings",
+    lambda d: clustering.loadings_table(d.spark, clustering.fit_components(_known(d), _FEATURES, k=11)),
+    "component:l feature:s loading:d",
+)
+
+
+def _unknown_projected(d: Domain) -> DataFrame:
+    known, unknown = features.split_by_company(materialize(_matrix(d), "matrix"))
+    projected = clustering.fit_components(known, _FEATURES, k=11).transform(unknown)
+    return projected.withColumn("parts", vector_to_array("components")).select(
+        "quarantine_id", *[F.col("parts")[i].alias(f"pc{i + 1}") for i in range(11)]
+    )
+
+
+_add(
+    "ml_pca_projection",
+    _unknown_projected,
+    "quarantine_id:s " + " ".join(f"pc{i}:d" for i in range(1, 12)),
+)
+_CROSSTAB = "failure_code:s cluster_0:l cluster_1:l cluster_2:l total:l share_0:d share_1:d share_2:d"
+_add("ml_kmeans_crosstab", lambda d: clustering.crosstab(_clustered(_projected(d)), 3), _CROSSTAB)
+_add("ml_kmeans_targeted", lambda d: clustering.crosstab(_targeted(_projected(d)), 3), _CROSSTAB)
+
+
+def _silhouettes(d: Domain) -> DataFrame:
+    projected = _projected(d)
+    rows = [
+        ("all", clustering.silhouette(_clustered(projected))),
+        ("pc2_pc3", clustering.silhouette(_targeted(projected), "picked")),
+    ]
+    return d.spark.createDataFrame(rows, "components string, silhouette double")
+
+
+_add("ml_silhouette", _silhouettes, "components:s silhouette:d")
+_add(
+    "ml_k_selection",
+    lambda d: clustering.choose_k(_projected(d), restarts=2),
+    "k:l inertia:d silhouette:d",
+)
+
+# --- loading and streaming -------------------------------------------------
+
+
+def _store(d: Domain) -> TableStore:
+    return TableStore(d.spark, scratch_path(d.spark, "store"))
+
+
+def _append_fx(d: Domain) -> DataFrame:
+    store = _store(d)
+    landing.append_fx_rates(store, d.fx_ticks.where(F.col("fx_timestamp") < F.lit(MIDWAY)), NOW)
+    # Loading everything again adds only what is new.
+    landing.append_fx_rates(store, d.fx_ticks.withColumn("source", F.lit("replay")), NOW)
+    return store.read("raw.fx_rate")
+
+
+_add(
+    "append_fx_rates",
+    _append_fx,
+    "base_cncy:s quote_cncy:s fx_timestamp:t rate:d source:s ingestion_timestamp:t",
+    """select base_cncy, quote_cncy, fx_timestamp, rate, timestamp '2024-01-31 01:00:00' as ingestion_timestamp,
+       case when fx_timestamp < timestamp '2024-01-16' then 'api' else 'replay' end as source from fx_rate""",
+)
+
+
+def _append_transactions(d: Domain) -> DataFrame:
+    store = _store(d)
+    landing.append_transactions(store, d.intraday.where("tx_id % 2 = 0"), "first", NOW)
+    landing.append_transactions(store, d.intraday.unionByName(d.intraday), "second", NOW)
+    return store.read("raw.transaction_event")
+
+
+_add(
+    "append_transactions",
+    _append_transactions,
+    "tx_id:l c_id:l base_cncy:s quote_cncy:s amount:d fee_amount:d tx_timestamp:t batch_id:s",
+    "select *, case when tx_id % 2 = 0 then 'first' else 'second' end as batch_id from intraday",
+)
+
+
+def _append_expenses(d: Domain) -> DataFrame:
+    store = _store(d)
+    landing.append_expenses(store, d.expenses.where("expense_id % 3 = 0"), NOW)
+    landing.append_expenses(store, d.expenses, NOW)
+    return store.read("raw.expense_event")
+
+
+_add(
+    "append_expenses",
+    _append_expenses,
+    "expense_id:l c_id:l cncy:s expense_timestamp:t amount:d category_id:l",
+    "select * from expense",
+)
+
+
+def _transformed(d: Domain) -> TableStore:
+    """A store after loading the tables in two halves with a transform after each."""
+    store = _store(d)
+    companies = d.companies.withColumns({c: F.col(c).cast("string") for c in ("c_id", "industry_id")})
+    store.append("analytics.d_company", companies)
+    early = F.col("tx_timestamp") < F.lit(MIDWAY)
+    for part in (early, ~early):
+        landing.append_fx_rates(store, d.fx_ticks.withColumn("tx_timestamp", F.col("fx_timestamp")).where(part), NOW)
+        landing.append_transactions(store, d.intraday.where(part), None, NOW)
+        promote.run_transform(store, d.expenses.limit(0))
+    return store
+
+
+_add(
+    "run_transform",
+    lambda d: _transformed(d).read("analytics.f_transaction"),
+    _FACT,
+    "select tx_id, amount, c_id, epoch_us(t_stamp) as time_id, cncy from itx",
+)
+
+
+def _transform_conversions(d: Domain) -> DataFrame:
+    return _transformed(d).read("analytics.f_conversion")
+
+
+_add(
+    "run_transform_conversions",
+    _transform_conversions,
+    "base_amount:d fee_amount:d fx_id:s tx_id:l",
+    "select base_amount, fee_amount, fx_id, tx_id from cx",
+)
+
+
+def _streamed(d: Domain, df: DataFrame, label: str) -> DataFrame:
+    """The rows of `df` as a file stream."""
+    path = scratch_path(d.spark, label)
+    df.write.parquet(path)
+    return d.spark.readStream.schema(df.schema).parquet(path)
+
+
+def _stream_ticks(d: Domain) -> DataFrame:
+    store = _store(d)
+    quotes = d.fx_ticks.select(
+        F.concat_ws("/", "base_cncy", "quote_cncy").alias("symbol"), F.col("rate").cast("string").alias("rate"), "fx_timestamp"
+    )
+    stream = ticks.parse_quotes(_streamed(d, quotes.unionByName(quotes), "quotes"))
+    bounds = {code: (0.0, 4.0) for code in refdata.RATE_BOUNDS}
+    ticks.stream_fx_ticks(stream, store, scratch_path(d.spark, "checkpoint"), bounds=bounds).awaitTermination()
+    return store.read("raw.fx_rate")
+
+
+_add(
+    "stream_fx_ticks",
+    _stream_ticks,
+    "base_cncy:s quote_cncy:s fx_timestamp:t rate:d",
+    "select * from fx_rate where rate between 0 and 4",
+)
+
+
+def _stream_latest(d: Domain) -> DataFrame:
+    path = scratch_path(d.spark, "latest")
+    stream = _streamed(d, d.fx_ticks, "ticks")
+    ticks.keep_latest_rates(stream, path, scratch_path(d.spark, "checkpoint")).awaitTermination()
+    return d.spark.read.parquet(path)
+
+
+_add("stream_latest_rates", _stream_latest, _RATE, "select * from latest")
+
+
+def _stream_normalized(d: Domain) -> TableStore:
+    store = _store(d)
+    names = normalize.company_names(d.companies)
+    batches.stream_normalize(
+        _streamed(d, d.dirty_feed, "feed"), names, store, scratch_path(d.spark, "checkpoint"),
+        valid_id=parsing.integer_text, now=lambda: NOW,
+    ).awaitTermination()
+    return store
+
+
+_add(
+    "stream_normalize",
+    lambda d: _stream_normalized(d).read("raw.transaction_event"),
+    _CLEAN,
+    "select tx_id, c_id, base_cncy, quote_cncy, amount, fee_amount, tx_timestamp from clean",
+)
+_add(
+    "stream_quarantine",
+    lambda d: _stream_normalized(d).read("raw.quarantine_event"),
+    "tx_id:l failure_code:s failure_count:l amount:d",
+    "select tx_id, failure_code, failure_count, amount from quarantine_event",
+)
+
+
+def _stream_transform(d: Domain) -> DataFrame:
+    store = _store(d)
+    companies = d.companies.withColumns({c: F.col(c).cast("string") for c in ("c_id", "industry_id")})
+    store.append("analytics.d_company", companies)
+    landing.append_fx_rates(store, d.fx_ticks, NOW)
+    landing.append_transactions(store, d.intraday, None, NOW)
+    batches.stream_transform(store, scratch_path(d.spark, "checkpoint")).awaitTermination()
+    return store.read("analytics.f_industry")
+
+
+_add(
+    "stream_transform",
+    _stream_transform,
+    "industry_id:l time_id:l total_revenue:d transaction_count:l company_count:l",
+    """select industry_id, epoch_us(cast(date_trunc('day', t_stamp) as timestamp)) as time_id, sum(amount) as total_revenue,
+       count(*) as transaction_count, count(distinct itx.c_id) as company_count
+       from itx join d_company c on c.c_id = itx.c_id group by 1, 2""",
+)

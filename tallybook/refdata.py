@@ -115,11 +115,11 @@ FEED_COLUMNS = {
 }
 
 # Accepted timestamp layouts: the shape of the text -> the pattern that reads it.
-# The shapes exclude one another, so each text is tried against one pattern only.
+# The shapes exclude one another, so each text is tried against one pattern only. Year-first
+# layouts with dashes (a space or `T` before the time, with or without `Z`) have no pattern:
+# a cast reads them.
 TIMESTAMP_LAYOUTS = [
-    (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$", "yyyy-M-d H:m:s"),
-    (r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}$", "yyyy-M-d'T'H:m:s"),
-    (r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}Z$", "yyyy-M-d'T'H:m:s'Z'"),
+    (r"^\d{4}-\d{1,2}-\d{1,2}[ T]\d{1,2}:\d{1,2}:\d{1,2}Z?$", None),
     (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2} [AaPp][Mm]$", "M/d/yyyy h:m a"),
     (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}$", "M/d/yyyy H:m"),
     (r"^\d{1,2}-\d{1,2}-\d{4} \d{1,2}:\d{1,2}$", "d-M-yyyy H:m"),

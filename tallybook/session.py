@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from py4j.protocol import Py4JError
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 RUNTIME_CONF = {
     # All event times are UTC; parsers and date_trunc depend on it.
@@ -53,8 +55,27 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df, label: str):
+def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write `df` once to the scratch folder and read it back, cutting its lineage."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class RowCounter:
+    """Counts the rows of a DataFrame while it is written, without a job of its own."""
+
+    def __init__(self) -> None:
+        self._seen = Observation()
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        return df.observe(self._seen, F.count(F.lit(1)).alias("n"))
+
+    @property
+    def rows(self) -> int:
+        try:
+            return self._seen.get["n"]
+        except Py4JError:
+            # Run-time optimization removes an input found to be empty together with its
+            # counter, which then has no value.
+            return 0
