@@ -108,7 +108,7 @@ def parse_fees(df: DataFrame, column: str = "fee_amount", amount: str = "amount"
         known = f"coalesce(try_cast(nanvl(cast({column} as double), 0) as {money}), 0)"
     else:
         df = df.withColumn(text, strip(F.col(column))).withColumn(
-            value, F.regexp_replace(text, "%+$", "")
+            value, F.regexp_replace(text, r"\s*%+$", "")
         )
         percent = f"try_cast({number(value)} as decimal(12,6))"
         share = f"try_cast(round(coalesce(try_cast({amount} as {money}), 0) * {percent} / 100, 4) as {money})"

@@ -233,7 +233,10 @@ def bounds_map(bounds: dict[str, tuple[float, float]]) -> Column:
 
 def flag_rate_bounds(ticks: DataFrame, bounds: dict[str, tuple[float, float]] | None = None) -> DataFrame:
     """Add `in_bounds`; a currency without bounds passes."""
-    limit = F.try_element_at(bounds_map(refdata.RATE_BOUNDS if bounds is None else bounds), F.col("base_cncy"))
+    bounds = refdata.RATE_BOUNDS if bounds is None else bounds
+    if not bounds:
+        return ticks.withColumn("in_bounds", F.lit(True))
+    limit = F.try_element_at(bounds_map(bounds), F.col("base_cncy"))
     inside = F.col("rate").cast("double").between(limit["low"], limit["high"])
     return ticks.withColumn("in_bounds", F.when(limit.isNull(), True).otherwise(F.coalesce(inside, F.lit(False))))
 

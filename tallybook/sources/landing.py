@@ -42,8 +42,8 @@ def append_new(
     """
     spec = TABLES[name]
     keys = list(spec.key) if keys is None else keys
-    taken, added = RowCounter(), RowCounter()
-    received = taken.watch(store.conform(name, rows))
+    added = RowCounter()
+    received = store.conform(name, rows)
     once = joins.dedupe(received, keys, prefer).select(*received.columns)
     days: dict = {}
     if spec.day_of in keys:
@@ -51,7 +51,7 @@ def append_new(
         days = {"since": first, "until": last}
     stored = store.read(name, **days)
     store.append(name, added.watch(joins.not_in(once, stored, keys, null_safe)))
-    return Loaded(taken.rows, added.rows)
+    return Loaded(received.count(), added.rows)
 
 
 def append_fx_rates(store: TableStore, ticks: DataFrame, ingested_at: datetime | None = None) -> Loaded:
