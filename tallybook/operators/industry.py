@@ -39,8 +39,13 @@ def refresh_industry_daily(
         tx_days = joins.not_in(tx_days, done, ["time_id"])
         cost_days = joins.not_in(cost_days, done, ["time_id"])
     key = ["industry_id", "time_id"]
+    bounded = joins.is_bounded(companies)
+
+    def placed(days: DataFrame) -> DataFrame:
+        return joins.attach(days, companies, [("c_id", "c_id")], ["industry_id"], "inner", bounded=bounded)
+
     revenue = (
-        joins.attach(tx_days, companies, [("c_id", "c_id")], ["industry_id"], "inner")
+        placed(tx_days)
         .groupBy(*key)
         .agg(
             F.sum("amount").cast(_MONEY).alias("total_revenue"),
@@ -50,7 +55,7 @@ def refresh_industry_daily(
         )
     )
     costs = (
-        joins.attach(cost_days, companies, [("c_id", "c_id")], ["industry_id"], "inner")
+        placed(cost_days)
         .groupBy(*key)
         .agg(F.sum("amount").cast(_MONEY).alias("total_expenses"))
     )

@@ -23,16 +23,18 @@ def attach(
     columns: list[str],
     how: str = "left",
     max_rows: int = BROADCAST_ROWS,
+    bounded: bool | None = None,
 ) -> DataFrame:
     """Add `columns` of `dim` to `left`, matching `on` pairs of (left column, dim column).
 
     `dim` has one row per key. It is broadcast after its size was checked. Otherwise the
     join is shuffled: rows without a key, which can match nothing, are spread by a hash of
     the row, and hot keys are left to the run-time skew splitting of the shuffled join.
+    `bounded` passes on the outcome of a check already made.
     """
     names = [f"__k{i}" for i in range(len(on))]
     keyed = dim.select(*[F.col(d).alias(n) for n, (_, d) in zip(names, on)], *columns)
-    if is_bounded(dim, max_rows):
+    if is_bounded(dim, max_rows) if bounded is None else bounded:
         match = [left[c] == keyed[n] for n, (c, _) in zip(names, on)]
         joined = left.join(F.broadcast(keyed), reduce(Column.__and__, match), how)
         return joined.drop(*names)
@@ -50,6 +52,19 @@ def lookup(
     return left.join(keyed, reduce(Column.__and__, match), how).drop(*names)
 
 
+def side_by_side(first: DataFrame, *others: DataFrame) -> DataFrame:
+    """One row holding the columns of several one-row aggregates.
+
+    The others are scalar subqueries of the first, so nothing is joined.
+    """
+    names = list(first.columns)
+    for i, other in enumerate(others):
+        row = other.select(F.struct(*other.columns).alias("row")).scalar()
+        first = first.withColumn(f"__row{i}", row)
+        names += [f"__row{i}.{c}" for c in other.columns]
+    return first.select(*names)
+
+
 def spread_join(
     left: DataFrame, right: DataFrame, on: list[tuple[str, str]], how: str
 ) -> DataFrame:
@@ -86,6 +101,21 @@ def not_in(new: DataFrame, existing: DataFrame, keys: list[str], null_safe: bool
     return new.join(seen, reduce(Column.__and__, pairs), "left_anti")
 
 
+def restrict(existing: DataFrame, new: DataFrame, keys: list[str], null_safe: bool = False) -> DataFrame:
+    """The rows of a large stored table that share a key with a batch, if the batch is small.
+
+    The batch's keys are broadcast, so the stored table is filtered where it is read and
+    never shuffled. A batch beyond the limit leaves the stored table as it is.
+    """
+    if not is_bounded(new.select(*keys)):
+        return existing
+    wanted = new.select(*[F.col(k).alias(f"__{k}") for k in keys])
+    pairs = [
+        existing[k].eqNullSafe(wanted[f"__{k}"]) if null_safe else existing[k] == wanted[f"__{k}"] for k in keys
+    ]
+    return existing.join(F.broadcast(wanted), reduce(Column.__and__, pairs), "left_semi")
+
+
 def attach_group_size(df: DataFrame, keys: list[str], name: str, null_group: bool = True) -> DataFrame:
     """Add the number of rows sharing `keys`.
 

@@ -12,14 +12,6 @@ from tallybook.operators.normalize import Normalized
 from tallybook.operators.quantile import exact_median
 
 
-def _one_row(*parts: DataFrame) -> DataFrame:
-    """Side by side join of one-row aggregates."""
-    whole, *rest = [p.withColumn("__k", F.lit(1)) for p in parts]
-    for part in rest:
-        whole = whole.join(part, "__k")
-    return whole.drop("__k")
-
-
 def _scaled(df: DataFrame, column: str, digits: int) -> DataFrame:
     """The decimal column as an integer of its last stored digit."""
     return df.select((F.col(column) * 10**digits).cast("bigint").alias("v"))
@@ -65,7 +57,7 @@ def normalization_stats(result: Normalized) -> DataFrame:
     middle = exact_median(_scaled(clean, "amount", 4), "v").select(
         F.round((F.col("median") / 10000).cast("decimal(20,6)"), 2).alias("amount_median")
     )
-    return _one_row(volume, quarantined, money, middle).withColumn(
+    return joins.side_by_side(volume, quarantined, money, middle).withColumn(
         "quarantine_rate_pct",
         F.coalesce(
             F.round(F.col("quarantined_tx").cast("decimal(20,0)") * 100 / F.nullif("input_rows", F.lit(0)), 2),
@@ -112,7 +104,7 @@ def fx_coverage(matched: DataFrame) -> DataFrame:
         (F.max("lag_us") / 1e6).alias("max_lag_s"),
     )
     middle = exact_median(timed, "lag_us").select((F.col("median") / 1e6).alias("median_lag_s"))
-    return _one_row(totals, middle)
+    return joins.side_by_side(totals, middle)
 
 
 def missing_rates_by_pair(matched: DataFrame) -> DataFrame:
@@ -149,7 +141,7 @@ def conversion_checks(converted: DataFrame) -> DataFrame:
     middle = exact_median(_scaled(converted.where(is_converted), "normalized_amount_usd", 4), "v").select(
         (F.col("median") / 10000).alias("converted_median")
     )
-    return _one_row(totals, middle)
+    return joins.side_by_side(totals, middle)
 
 
 def orphan_conversions(conversions: DataFrame, transactions: DataFrame) -> DataFrame:
@@ -252,4 +244,4 @@ def validate_rate_bounds(
 
 def reconcile(counts: dict[str, DataFrame]) -> DataFrame:
     """One row with the row count of each table."""
-    return _one_row(*[df.agg(F.count(F.lit(1)).alias(name)) for name, df in counts.items()])
+    return joins.side_by_side(*[df.agg(F.count(F.lit(1)).alias(name)) for name, df in counts.items()])

@@ -180,7 +180,7 @@ def health(events: DataFrame, raw: DataFrame, now: datetime, recent_hours: int =
     of_raw = raw.agg(
         F.count(F.lit(1)).alias("total_raw"), F.max("ingestion_timestamp").alias("latest_ingestion")
     )
-    both = of_events.withColumn("__k", F.lit(1)).join(of_raw.withColumn("__k", F.lit(1)), "__k")
+    both = joins.side_by_side(of_events, of_raw)
     clean = F.col("total_raw") - F.col("total_quarantined")
     rate = F.round(clean.cast("decimal(20,0)") * 100 / F.nullif("total_raw", F.lit(0)), 2)
     return both.select(

@@ -6,7 +6,7 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame
 
-from tallybook.operators import industry, normalize, quality, star
+from tallybook.operators import industry, joins, normalize, quality, star
 from tallybook.session import RowCounter, materialize
 from tallybook.sources import dimensions, landing
 from tallybook.sources.tables import TableStore
@@ -51,8 +51,14 @@ def run_transform(
     def facts() -> DataFrame:
         return store.read("analytics.f_transaction")
 
+    def known(name: str, new: DataFrame, keys: list[str]) -> DataFrame:
+        """The stored rows that an incremental run has to look at."""
+        stored = store.read(name)
+        return stored if ingested_since is None else joins.restrict(stored, new, keys)
+
     if window_days is None:
-        new = star.promote_transactions(transactions, facts())
+        seen = known("analytics.f_transaction", transactions, ["tx_id"])
+        new = star.promote_transactions(transactions, seen)
         counts["transactions"] = _append(store, "analytics.f_transaction", new)
     else:
         counts["transactions"] = 0
@@ -69,7 +75,7 @@ def run_transform(
     quality.require_conversion_currency(conversions, facts(), store.read("analytics.f_fx_rate"))
     counts["conversions"] = _append(store, "analytics.f_conversion", conversions)
     counts["expenses"] = _append(
-        store, "analytics.f_expense", star.promote_expenses(costs, store.read("analytics.f_expense"))
+        store, "analytics.f_expense", star.promote_expenses(costs, known("analytics.f_expense", costs, ["expense_id"]))
     )
     counts["d_time"] += _append(
         store, "analytics.d_time", star.ensure_midnights(store.read("analytics.d_time"))

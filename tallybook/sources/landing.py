@@ -49,7 +49,7 @@ def append_new(
     if spec.day_of in keys:
         first, last = rows.agg(F.to_date(F.min(spec.day_of)), F.to_date(F.max(spec.day_of))).first()
         days = {"since": first, "until": last}
-    stored = store.read(name, **days)
+    stored = joins.restrict(store.read(name, **days), received, keys, null_safe)
     store.append(name, added.watch(joins.not_in(once, stored, keys, null_safe)))
     return Loaded(received.count(), added.rows)
 
