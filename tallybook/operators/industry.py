@@ -18,6 +18,17 @@ def _by_company_day(facts: DataFrame) -> DataFrame:
     )
 
 
+def _of_new_days(facts: DataFrame, existing: DataFrame | None) -> DataFrame:
+    """Facts of days without a stored row. The stored days, one value per calendar day, are
+    broadcast after a check, so finished days leave before anything is shuffled."""
+    if existing is None:
+        return facts
+    done = existing.select(F.col("time_id").alias("__done")).distinct()
+    if joins.is_bounded(done):
+        done = F.broadcast(done)
+    return facts.join(done, timekeys.day_key(facts["time_id"]) == F.col("__done"), "left_anti")
+
+
 def refresh_industry_daily(
     transactions: DataFrame,
     expenses: DataFrame,
@@ -33,11 +44,8 @@ def refresh_industry_daily(
     """
     if growth not in ("chained", "stored"):
         raise ValueError(f"growth must be 'chained' or 'stored', not {growth!r}")
-    tx_days, cost_days = _by_company_day(transactions), _by_company_day(expenses)
-    if existing is not None:
-        done = existing.select("time_id").distinct()
-        tx_days = joins.not_in(tx_days, done, ["time_id"])
-        cost_days = joins.not_in(cost_days, done, ["time_id"])
+    tx_days = _by_company_day(_of_new_days(transactions, existing))
+    cost_days = _by_company_day(_of_new_days(expenses, existing))
     key = ["industry_id", "time_id"]
     bounded = joins.is_bounded(companies)
 

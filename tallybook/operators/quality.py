@@ -10,6 +10,7 @@ from tallybook.functions import numbers
 from tallybook.operators import joins
 from tallybook.operators.normalize import Normalized
 from tallybook.operators.quantile import exact_median
+from tallybook.session import materialize
 
 
 def _scaled(df: DataFrame, column: str, digits: int) -> DataFrame:
@@ -25,7 +26,12 @@ def normalization_stats(result: Normalized) -> DataFrame:
 
     A field counts as rescued in a clean row when its text was not already canonical.
     """
-    rows = result.annotated
+    # Read several times below, so stored once: the feed is parsed a single time.
+    needed = [
+        "tx_id", "c_id", "base_cncy", "quote_cncy", "amount", "fee_amount", "tx_timestamp", "broken",
+        "_raw_c_id", "_raw_amount", "_raw_base_cncy", "_raw_tx_timestamp",
+    ]
+    rows = materialize(result.annotated.select(*needed), "stats")
     broken = F.col("broken") > 0
     volume = rows.agg(
         F.count(F.lit(1)).alias("input_rows"),
@@ -92,8 +98,8 @@ def fx_coverage(matched: DataFrame) -> DataFrame:
         foreign & F.col("rate").isNotNull(),
         F.unix_micros(F.col("tx_timestamp").cast("timestamp")) - F.unix_micros(F.col("fx_timestamp").cast("timestamp")),
     )
-    # Equal lags are counted once here and reused by the median.
-    timed = matched.withColumn("lag_us", lag)
+    # Read several times below, so stored once: the as-of join runs a single time.
+    timed = materialize(matched.select("base_cncy", "rate", lag.alias("lag_us")), "coverage")
     totals = timed.agg(
         F.count(F.lit(1)).alias("total_rows"),
         F.count_if(~foreign).alias("usd_rows"),
@@ -124,6 +130,10 @@ def matched_sample(matched: DataFrame, n: int = 5) -> DataFrame:
 
 def conversion_checks(converted: DataFrame) -> DataFrame:
     """Counts by flag, re-computed amounts, and the range of converted amounts."""
+    # Read several times below, so stored once: the as-of join runs a single time.
+    converted = materialize(
+        converted.select("conversion_flag", "normalized_amount_usd", "amount", "rate"), "conversions"
+    )
     flag, usd = F.col("conversion_flag"), F.col("normalized_amount_usd")
     is_converted = flag == "converted"
     again = F.round(F.col("amount") * F.col("rate"), 4)

@@ -5,7 +5,9 @@ from __future__ import annotations
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from tallybook.functions import timekeys
 from tallybook.operators import industry, joins, normalize, quality, star
 from tallybook.session import RowCounter, materialize
 from tallybook.sources import dimensions, landing
@@ -80,14 +82,21 @@ def run_transform(
     counts["d_time"] += _append(
         store, "analytics.d_time", star.ensure_midnights(store.read("analytics.d_time"))
     )
-    daily = industry.refresh_industry_daily(
-        facts(),
-        store.read("analytics.f_expense"),
-        store.read("analytics.d_company"),
-        store.read("analytics.f_industry"),
-        growth,
-    )
-    counts["industry_rows"] = _append(store, "analytics.f_industry", daily)
+    # Only the partitions of days without a daily aggregate are read.
+    history = store.read("analytics.f_industry")
+    day = F.to_date(timekeys.t_stamp(F.col("time_id")))
+    done = {r[0] for r in history.select(day).distinct().collect()}
+    open_days = store.days("analytics.f_transaction") - done
+    counts["industry_rows"] = 0
+    if open_days:
+        daily = industry.refresh_industry_daily(
+            store.read("analytics.f_transaction", days=open_days),
+            store.read("analytics.f_expense", days=open_days),
+            store.read("analytics.d_company"),
+            history,
+            growth,
+        )
+        counts["industry_rows"] = _append(store, "analytics.f_industry", daily)
     return counts
 
 

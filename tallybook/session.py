@@ -18,6 +18,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Hot join keys are split at run time, which every shuffled join here relies on.
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split them even where that costs one more shuffle downstream.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Appends that rewrite a partition must leave the other partitions alone.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }

@@ -29,11 +29,34 @@ class TableStore:
             raise KeyError(f"unknown table {name!r}")
         return f"{self.root}/{name.replace('.', '/')}"
 
-    def read(self, name: str, since: date | None = None, until: date | None = None) -> DataFrame:
+    def read(
+        self,
+        name: str,
+        since: date | None = None,
+        until: date | None = None,
+        days: set[date] | None = None,
+    ) -> DataFrame:
         """The table, or an empty one if nothing was written yet.
 
-        `since` and `until` (inclusive) prune the day partitions of tables that have them.
+        `since` and `until` (inclusive) and `days` prune the day partitions of tables that
+        have them.
         """
+        df = self._with_day(name)
+        if _DAY not in df.columns:
+            return df
+        if since is not None:
+            df = df.where(F.col(_DAY) >= F.lit(since))
+        if until is not None:
+            df = df.where(F.col(_DAY) <= F.lit(until))
+        if days is not None:
+            df = df.where(F.col(_DAY).isin(sorted(days)))
+        return df.drop(_DAY)
+
+    def days(self, name: str) -> set[date]:
+        """The calendar days a table has partitions for; reads no column."""
+        return {r[0] for r in self._with_day(name).select(_DAY).distinct().collect()}
+
+    def _with_day(self, name: str) -> DataFrame:
         spec, path = TABLES[name], self.path(name)
         schema = T.StructType(list(spec.schema))
         if spec.day_of:
@@ -43,13 +66,8 @@ class TableStore:
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], spec.schema)
-        if spec.day_of:
-            if since is not None:
-                df = df.where(F.col(_DAY) >= F.lit(since))
-            if until is not None:
-                df = df.where(F.col(_DAY) <= F.lit(until))
-        return df.drop(_DAY)
+            return self.spark.createDataFrame([], schema)
+        return df
 
     def conform(self, name: str, df: DataFrame) -> DataFrame:
         """Columns, order and types of the table; NaN becomes NULL.
