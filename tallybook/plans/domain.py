@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tallybook import refdata
 from tallybook.functions import parsing
 from tallybook.operators import industry, normalize, quarantine, star
-from tallybook.session import configure
+from tallybook.session import configure, materialize
 
 CODES = list(refdata.CURRENCIES)
 
@@ -225,10 +225,9 @@ class Domain:
 
     # --- normalization results ---------------------------------------------
 
-    @cached_property
-    def normalized(self) -> normalize.Normalized:
+    def _normalize(self, stage=None) -> normalize.Normalized:
         names = normalize.company_names(self.companies)
-        result = normalize.normalize_receipts(self.dirty_feed, names, valid_id=parsing.integer_text)
+        result = normalize.normalize_receipts(self.dirty_feed, names, valid_id=parsing.integer_text, stage=stage)
 
         def keyed(df: DataFrame) -> DataFrame:
             return df.withColumn("c_id", F.col("c_id").cast("bigint"))
@@ -239,16 +238,26 @@ class Domain:
             keyed(result.quarantine),
         )
 
+    @cached_property
+    def normalized(self) -> normalize.Normalized:
+        """For plans that read the parsed feed once."""
+        return self._normalize()
+
+    @cached_property
+    def stored(self) -> normalize.Normalized:
+        """For plans that read it several times: parsed once and written."""
+        return self._normalize(lambda parsed: materialize(parsed, "parsed"))
+
     @cached_property
     def loaded(self) -> DataFrame:
         """Clean rows as stored, ingested at the end of their day."""
-        return self.normalized.clean.withColumns(
+        return self.stored.clean.withColumns(
             {"ingestion_timestamp": _day_end(), "batch_id": F.col("batch_day").cast("string")}
         )
 
     @cached_property
     def quarantine_events(self) -> DataFrame:
-        rows = self.normalized.quarantine
+        rows = self.stored.quarantine
         return quarantine.quarantine_records(rows, F.col("batch_day").cast("string"), _day_end())
 
     @cached_property
@@ -261,7 +270,7 @@ class Domain:
         level = F.array(F.lit("low"), F.lit("medium"), F.lit("high"))
         day = F.col("batch_day")
         return (
-            self.normalized.annotated.groupBy("batch_day")
+            self.stored.annotated.groupBy("batch_day")
             .agg(
                 F.count(F.lit(1)).alias("n_transactions"),
                 F.count_if(F.col("broken") == 0).alias("clean_count"),

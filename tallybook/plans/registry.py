@@ -173,7 +173,7 @@ _add(
 )
 _add(
     "normalization_codes",
-    lambda d: quality.code_breakdown(d.normalized),
+    lambda d: quality.code_breakdown(d.stored),
     "failure_code:s violations:l pct_of_input:d",
     f"""select failure_code, count(*) as violations,
         {ratio('count(*) * 100', '(select count(*) from dirty)', 2)} as pct_of_input from violation group by 1""",
