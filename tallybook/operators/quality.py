@@ -178,15 +178,24 @@ def require_conversion_currency(
         raise ValueError(f"conversion currency mismatch, for example {bad[0].asDict()}")
 
 
-def legacy_mismatches(conversions: DataFrame, transactions: DataFrame, fx: DataFrame) -> DataFrame:
-    """Count of conversions whose converted net amount differs from the stored amount.
+def conversion_arithmetic(conversions: DataFrame, transactions: DataFrame, fx: DataFrame) -> DataFrame:
+    """Per conversion: the converted net amount, the stored amount, and whether they agree.
 
-    Stored amounts stay in native currency, so a non-zero count is normal.
+    Stored amounts stay in native currency, so disagreement is normal.
     """
-    linked = conversions.join(transactions.select("tx_id", "amount"), "tx_id")
-    linked = joins.attach(linked, fx, [("fx_id", "fx_id")], ["rate"], "inner")
+    actual = transactions.select("tx_id", F.col("amount").alias("actual_amount"))
+    linked = joins.attach(conversions.join(actual, "tx_id"), fx, [("fx_id", "fx_id")], ["rate"], "inner")
     expected = F.round(F.col("base_amount") * F.col("rate") - F.col("fee_amount"), 4)
-    return linked.agg(F.count_if(expected != F.round("amount", 4)).alias("mismatches"))
+    return linked.select(
+        "tx_id", "base_amount", "fee_amount", "rate", expected.alias("expected_amount"), "actual_amount",
+        (expected == F.round("actual_amount", 4)).alias("match"),
+    )
+
+
+def legacy_mismatches(conversions: DataFrame, transactions: DataFrame, fx: DataFrame) -> DataFrame:
+    """Count of conversions whose converted net amount differs from the stored amount."""
+    checked = conversion_arithmetic(conversions, transactions, fx)
+    return checked.agg(F.count_if(~F.col("match")).alias("mismatches"))
 
 
 # --- generic checks --------------------------------------------------------

@@ -638,6 +638,21 @@ _add(
        where round(base_amount * rate - fee_amount, 4) <> round(itx.amount, 4)""",
 )
 
+_add(
+    "legacy_match",
+    lambda d: quality.conversion_arithmetic(d.f_conversion, d.f_intraday, d.f_fx_rate),
+    "tx_id:l base_amount:d fee_amount:d rate:d expected_amount:d actual_amount:d match:b",
+    """select tx_id, base_amount, fee_amount, rate, round(base_amount * rate - fee_amount, 4) as expected_amount,
+       itx.amount as actual_amount, round(base_amount * rate - fee_amount, 4) = round(itx.amount, 4) as match
+       from cx join itx using (tx_id)""",
+)
+_add(
+    "read_table",
+    lambda d: d.read("orders"),
+    "o_orderkey:l o_custkey:l o_orderstatus:s o_totalprice:d o_orderdate:t o_orderpriority:s",
+    "select * from orders",
+)
+
 # --- reports ---------------------------------------------------------------
 
 _add(

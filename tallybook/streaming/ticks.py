@@ -29,7 +29,11 @@ def parse_quotes(quotes: DataFrame, quote_cncy: str = "USD") -> DataFrame:
 
 
 def newest_stored(store: TableStore) -> datetime | None:
-    return store.read("raw.fx_rate").agg(F.max("fx_timestamp")).first()[0]
+    """Time of the newest stored tick; reads the newest day's partition only."""
+    days = store.days("raw.fx_rate")
+    if not days:
+        return None
+    return store.read("raw.fx_rate", days={max(days)}).agg(F.max("fx_timestamp")).first()[0]
 
 
 def stream_fx_ticks(
