@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallybook.session import materialize
+
 # A dimension is broadcast only when a bounded count shows at most this many rows.
 BROADCAST_ROWS = 500_000
 
@@ -116,25 +118,28 @@ def restrict(existing: DataFrame, new: DataFrame, keys: list[str], null_safe: bo
     return existing.join(F.broadcast(wanted), reduce(Column.__and__, pairs), "left_semi")
 
 
-def attach_group_size(df: DataFrame, keys: list[str], name: str, null_group: bool = True) -> DataFrame:
+def attach_group_size(
+    df: DataFrame, keys: list[str], name: str, null_group: bool = True, max_rows: int = BROADCAST_ROWS
+) -> DataFrame:
     """Add the number of rows sharing `keys`.
 
-    Only groups of two or more travel back to the rows, so a hot key costs one partial
-    aggregate instead of a window over its whole group. With `null_group` false, rows with
-    a null in the key count as groups of one.
+    Groups are counted from the keys alone and only those of two or more are kept, written
+    once. While they are few they are broadcast, so the rows themselves are not shuffled;
+    otherwise they are joined back. A hot key costs one partial aggregate instead of a window
+    over its whole group. With `null_group` false, rows with a null in the key count as
+    groups of one.
     """
-    if not null_group:
-        sized = df.where(reduce(Column.__and__, [F.col(k).isNotNull() for k in keys]))
-    else:
-        sized = df
-    repeated = (
+    sized = df if null_group else df.where(reduce(Column.__and__, [F.col(k).isNotNull() for k in keys]))
+    repeated = materialize(
         sized.groupBy(*[F.col(k).alias(f"__{k}") for k in keys])
         .agg(F.count(F.lit(1)).alias("__n"))
-        .where("__n > 1")
+        .where("__n > 1"),
+        "repeated",
     )
-    if null_group:
+    few = is_bounded(repeated, max_rows)
+    if few or null_group:
         match = reduce(Column.__and__, [df[k].eqNullSafe(repeated[f"__{k}"]) for k in keys])
-        joined = df.join(repeated, match, "left")
+        joined = df.join(F.broadcast(repeated) if few else repeated, match, "left")
     else:
         joined = spread_join(df, repeated, [(k, f"__{k}") for k in keys], "left")
     return joined.withColumn(name, F.coalesce("__n", F.lit(1))).drop("__n", *[f"__{k}" for k in keys])

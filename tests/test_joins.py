@@ -36,12 +36,13 @@ def test_dedupe_keeps_the_preferred_row(spark):
     assert {r.s for r in joins.dedupe(df, ["k"]).collect()} == {"a", "c", "w"}
 
 
-def test_group_size(spark):
+@pytest.mark.parametrize("max_rows", [100, 0], ids=["broadcast", "shuffled"])
+def test_group_size(spark, max_rows):
     rows = [("a",)] * 3 + [("b",)] + [(None,)] * 2
     df = spark.createDataFrame(rows, "k string")
-    sized = {(r.k, r.n) for r in joins.attach_group_size(df, ["k"], "n").collect()}
+    sized = {(r.k, r.n) for r in joins.attach_group_size(df, ["k"], "n", max_rows=max_rows).collect()}
     assert sized == {("a", 3), ("b", 1), (None, 2)}
-    alone = joins.attach_group_size(df, ["k"], "n", null_group=False)
+    alone = joins.attach_group_size(df, ["k"], "n", null_group=False, max_rows=max_rows)
     assert {(r.k, r.n) for r in alone.collect()} == {("a", 3), ("b", 1), (None, 1)}
     assert alone.count() == 6
 
