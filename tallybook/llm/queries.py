@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import exact, langid, mixing, pieces, token_files, toxicity
+from tallybook.llm import exact, jaccard, langid, mixing, pieces, substring, token_files, topk, toxicity
 
 END_ID = 2
 
@@ -24,6 +24,18 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_shards(spark, path, digests=True)
 
 
+def op2_substring_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(_documents(spark, sf_dir), digests=True)
+
+
+def op3_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.linked_components(_documents(spark, sf_dir))
+
+
+def op4_integer_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 20 == 0, 20)
+
+
 def op5_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text")
     return pieces.encode_texts(docs, public_tokenizers.path("piece_bpe_32k.model"), digests=True)
@@ -59,6 +71,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
+    "op2_substring_repeats": op2_substring_repeats,
+    "op3_shingle_join": op3_shingle_join,
+    "op4_integer_top_k": op4_integer_top_k,
     "op5_piece_codec": op5_piece_codec,
     "op7_language_filters": op7_language_filters,
     "op8_exact_groups": op8_exact_groups,
