@@ -8,9 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import exact, jaccard, langid, mixing, pieces, substring, token_files, topk, toxicity
+from tallybook.llm import exact, jaccard, langid, mixing, pieces, substring, surrogates, token_files, topk, toxicity
 
 END_ID = 2
+#: Who knows the key can test guesses at replaced values; a real run passes its own.
+SURROGATE_KEY = "surrogates"
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,6 +43,10 @@ def op5_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_texts(docs, public_tokenizers.path("piece_bpe_32k.model"), digests=True)
 
 
+def op6_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.replace_entities(_documents(spark, sf_dir), SURROGATE_KEY)
+
+
 def _remainder(modulus: int):
     return F.crc32(F.col("doc_id").cast("string")) % modulus
 
@@ -75,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_shingle_join": op3_shingle_join,
     "op4_integer_top_k": op4_integer_top_k,
     "op5_piece_codec": op5_piece_codec,
+    "op6_surrogates": op6_surrogates,
     "op7_language_filters": op7_language_filters,
     "op8_exact_groups": op8_exact_groups,
     "op9_source_mix": op9_source_mix,

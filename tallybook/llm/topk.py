@@ -102,7 +102,7 @@ def search_block(query_ids, queries, ids, columns, k: int, best: dict[int, tuple
 
 
 def _searcher(k: int):
-    def search(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def search(key, left, right):
         best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         parts = []
         if len(left) and len(right):
@@ -124,7 +124,7 @@ def _blocks(rows: DataFrame, size: int, label: str) -> DataFrame:
     placed = running_totals(rows, [], [F.col("vec_id"), F.xxhash64("ints")], F.lit(1), partitions)
     placed = placed.withColumn("block", F.floor(F.col("before") / size).cast("bigint"))
 
-    def together(key, group: pd.DataFrame) -> pd.DataFrame:
+    def together(key, group):
         tall = np.ascontiguousarray(np.array(group["ints"].tolist(), dtype=np.int64).T)
         return pd.DataFrame({"block": [key[0]], "ids": [group["vec_id"].to_numpy("<i8").tobytes()], "columns": [_small(tall)]})
 
