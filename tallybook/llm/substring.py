@@ -137,9 +137,11 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> Da
     seen = anchors.groupBy("anchor").agg(
         F.min("doc_id").alias("lowest"), F.max("doc_id").alias("highest"), (F.min("block") < F.max("block")).alias("several")
     )
-    shared = anchors.join(seen.where("lowest < highest").select("anchor", "several"), "anchor")
-    shared = materialize(shared, "shared")
-    earliest = shared.groupBy("anchor", "block").agg(F.min("doc_id").alias("earliest"))
+    # What is joined back on a key is written first: the join then has a shuffle of its own on
+    # both sides, in which run-time skew splitting cuts a hot anchor.
+    seen = materialize(seen.where("lowest < highest").select("anchor", "several"), "seen")
+    shared = materialize(anchors.join(seen, "anchor"), "shared")
+    earliest = materialize(shared.groupBy("anchor", "block").agg(F.min("doc_id").alias("earliest")), "earliest")
     placed = materialize(shared.join(earliest, ["anchor", "block"]), "blocks")
     whole = placed.where("doc_id > earliest").select("doc_id", "first", "count")
     rest = placed.where("doc_id = earliest and several").groupBy("doc_id").agg(F.collect_list(F.struct("first", "count")).alias("runs"))
@@ -149,7 +151,8 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> Da
     texts = named.join(ids, "doc_id", "left_semi").join(rest, "doc_id").select("doc_id", "text", "runs")
     windows = materialize(texts.mapInArrow(_window_reader(length), "one bigint, two bigint, doc_id bigint, first int"), "windows")
     first_seen = windows.groupBy("one", "two").agg(F.min("doc_id").alias("lowest"), F.max("doc_id").alias("highest"))
-    again = windows.join(first_seen.where("lowest < highest").select("one", "two", "lowest"), ["one", "two"])
+    first_seen = materialize(first_seen.where("lowest < highest").select("one", "two", "lowest"), "first-seen")
+    again = windows.join(first_seen, ["one", "two"])
     single = again.where("doc_id > lowest").select("doc_id", "first", F.lit(1).alias("count"))
     return whole.unionByName(single)
 
@@ -157,9 +160,10 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> Da
 def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, digests: bool = False) -> DataFrame:
     """doc_id, n_words, n_removed and the kept words joined by a space (or their sha256)."""
     docs = docs.select("doc_id", "text")
-    per_doc = repeated_runs(docs, length, seed).groupBy("doc_id").agg(F.collect_list(F.struct("first", "count")).alias("runs"))
+    # Runs are counted, not documents: they are what a broadcast would hold.
     counted = RowCounter()
-    per_doc = materialize(counted.watch(per_doc), "repeats")
+    repeats = materialize(counted.watch(repeated_runs(docs, length, seed)), "repeats")
+    per_doc = repeats.groupBy("doc_id").agg(F.collect_list(F.struct("first", "count")).alias("runs"))
     joined = docs.join(broadcast_if_small(per_doc, counted.rows), "doc_id", "left").select("doc_id", "text", "runs")
     last = "kept_sha256" if digests else "kept"
     return joined.mapInArrow(_remover(length, digests), f"doc_id bigint, n_words bigint, n_removed bigint, {last} string")
