@@ -250,11 +250,14 @@ def latest_batches(events: DataFrame, limit: int = 5) -> DataFrame:
 @dataclass(frozen=True)
 class Resolution:
     """`requeued`: corrected raw rows; `still_bad`: corrections that break a rule again;
-    `audit`: one row per selected record, whatever became of it."""
+    `audit`: one row per selected record, whatever became of it; `unfit`: ids of records without
+    a transaction, which can't be requeued; `batch_id`: the batch of what is quarantined again."""
 
     requeued: DataFrame
     still_bad: DataFrame
     audit: DataFrame
+    unfit: DataFrame
+    batch_id: str
 
 
 def resolve(
@@ -289,9 +292,11 @@ def resolve(
         now.alias("resolved_at"),
     )
     columns = ["tx_id", "c_id", "base_cncy", "quote_cncy", "amount", "fee_amount", "tx_timestamp", "batch_id"]
-    rows = events.where("tx_id is not null").join(wanted, "quarantine_id", "left_semi").select(*columns)
+    chosen = events.join(wanted, "quarantine_id", "left_semi")
+    rows = chosen.where("tx_id is not null").select(*columns)
+    unfit = chosen.where("tx_id is null").select("quarantine_id")
     if action == "deleted":
-        rows = rows.limit(0)
+        rows, unfit = rows.limit(0), unfit.limit(0)
     types = {f.name: f.dataType for f in rows.schema}
     for name, value in corrections.items():
         if value is not None:
@@ -300,4 +305,5 @@ def resolve(
     rules = RULES if rules is None else rules
     good = once.where(broken_rules(rules) == 0)
     bad = explode_violations(once, once.columns, rules).drop("dirty_value")
-    return Resolution(good, bad, audit)
+    again = refdata._uuid5(refdata.SURROGATE_NAMESPACE, f"requeue:{resolved_by}:{resolved_at.isoformat()}")
+    return Resolution(good, bad, audit, unfit, again)

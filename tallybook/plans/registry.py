@@ -1192,6 +1192,39 @@ def _stream_transform(d: Domain) -> DataFrame:
     return store.read("analytics.f_industry")
 
 
+def _requeue_store(d: Domain) -> TableStore:
+    """A store after the requeue was applied, and applied again."""
+    store = _store(d)
+    store.append("raw.quarantine_event", d.quarantine_events)
+    for _ in range(2):
+        landing.apply_resolution(store, _requeue(d))
+    return store
+
+
+_add(
+    "requeue_applied",
+    lambda d: _requeue_store(d).read("raw.transaction_event"),
+    _CLEAN + " batch_id:s",
+    f"select * from ({_REQUEUE_SQL}) r where amount > 0 and base_cncy is not null",
+)
+
+
+def _requeue_open(d: Domain) -> DataFrame:
+    """What the requeue left in quarantine: its rejected corrections, with their new values."""
+    store = _requeue_store(d)
+    events, settled = store.read("raw.quarantine_event"), store.read("raw.quarantine_resolution")
+    return events.join(settled, "quarantine_id", "left_anti").where("c_id = '7' and tx_timestamp = timestamp '2024-01-15 12:00:00'")
+
+
+_add(
+    "requeue_still_open",
+    _requeue_open,
+    "tx_id:l c_id:l tx_timestamp:t failure_code:s",
+    f"""select tx_id, c_id, tx_timestamp, 'INVALID_AMOUNT' as failure_code from ({_REQUEUE_SQL}) r where amount is null or amount <= 0
+        union all select tx_id, c_id, tx_timestamp, 'INVALID_BASE_CURRENCY' from ({_REQUEUE_SQL}) r where base_cncy is null""",
+)
+
+
 _add(
     "stream_transform",
     _stream_transform,

@@ -159,11 +159,16 @@ def log_pipeline_run(store: TableStore, record: dict) -> bool:
 def apply_resolution(store: TableStore, resolution: quarantine.Resolution) -> dict[str, int]:
     """Append requeued rows to the raw transactions and the audit rows.
 
-    A transaction already stored is not inserted a second time.
+    A transaction already stored is not inserted a second time. Corrected rows that still break
+    a rule are quarantined again with their corrections, one new record per broken rule, and
+    records without a transaction stay unresolved, so nothing selected is lost. The audit rows
+    come last: a run that died before is repaired by running again.
     """
     requeued = append_new(store, "raw.transaction_event", resolution.requeued)
-    audit = append_new(store, "raw.quarantine_resolution", resolution.audit)
-    return {"resolved": audit.received, "requeued": requeued.inserted}
+    again = append_quarantine(store, resolution.still_bad.drop("batch_id", "ingestion_timestamp"), resolution.batch_id)
+    fit = joins.not_in(resolution.audit, resolution.unfit, ["quarantine_id"])
+    audit = append_new(store, "raw.quarantine_resolution", fit)
+    return {"resolved": audit.received, "requeued": requeued.inserted, "quarantined": again.inserted}
 
 
 def write_report_csv(df: DataFrame, path: str) -> None:

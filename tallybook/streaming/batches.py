@@ -53,13 +53,19 @@ def stream_normalize(
 
 
 def stream_transform(store: TableStore, checkpoint: str, **trigger) -> StreamingQuery:
-    """Run the transform whenever raw transactions have arrived.
+    """Run the transform whenever raw transactions or expenses have arrived.
 
-    The raw table is the stream; the oldest ingestion day of a micro-batch limits what the
-    transform reads.
+    Both raw tables are the stream; the oldest ingestion day of a micro-batch, of either, limits
+    what the transform reads.
     """
-    schema = store.read("raw.transaction_event").schema
-    arrivals = store.spark.readStream.schema(schema).parquet(store.path("raw.transaction_event"))
+
+    def arriving(name: str) -> DataFrame:
+        if store.is_empty(name):
+            store.append(name, store.read(name))  # a stream needs the folder
+        stream = store.spark.readStream.schema(store.read(name).schema).parquet(store.path(name))
+        return stream.select("ingestion_timestamp")
+
+    arrivals = arriving("raw.transaction_event").unionByName(arriving("raw.expense_event"))
 
     def promote_new(batch: DataFrame, epoch: int) -> None:
         first = batch.agg(F.to_date(F.min("ingestion_timestamp"))).first()[0]

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from tallybook.operators import normalize, quality, quarantine
 from tallybook.plans.domain import Domain
+from tallybook.sources import landing
+from tallybook.sources.tables import TableStore
 
 NOW = datetime(2026, 1, 2, 12)
 FEED = "tx_id string, c_id string, base_cncy string, quote_cncy string, amount string, fee_amount string, tx_timestamp string"
@@ -121,6 +123,25 @@ def test_requeue_with_all_corrections(spark, names):
     assert done.requeued.isEmpty() and [r.failure_code for r in done.still_bad.collect()] == ["INVALID_BASE_CURRENCY"]
 
 
+def test_corrections_one_at_a_time(spark, names, tmp_path):
+    """A row with several faults is corrected record by record, and nothing is lost on the way."""
+    store = TableStore(spark, str(tmp_path))
+    store.append("raw.quarantine_event", records(spark, names))
+    chosen = store.read("raw.quarantine_event").where("tx_id in ('t3', 't4') or tx_id is null")
+    done = quarantine.resolve(store.read("raw.quarantine_event"), chosen, "requeued", "me", NOW, new_c_id=ID)
+    counts = landing.apply_resolution(store, done)
+    # t3 goes in, the record without a transaction stays, t4 comes back with its new company.
+    assert counts == {"resolved": 4, "requeued": 1, "quarantined": 3}
+    assert [r.tx_id for r in store.read("raw.transaction_event").collect()] == ["t3"]
+    events, settled = store.read("raw.quarantine_event"), store.read("raw.quarantine_resolution")
+    still = events.join(settled, "quarantine_id", "left_anti").collect()
+    assert sorted((r.tx_id or "", r.c_id) for r in still if r.tx_id) == [("t4", ID)] * 3
+    assert any(r.tx_id is None for r in still)
+    # Running it again adds nothing.
+    landing.apply_resolution(store, done)
+    assert store.read("raw.quarantine_event").count() == len(still) + settled.count()
+
+
 def test_resolve_arguments(spark, names):
     events = records(spark, names)
     with pytest.raises(ValueError):
