@@ -229,7 +229,9 @@ def replace_entities(docs: DataFrame, key: str, id_column: str = "doc_id", text_
     source = docs.select(
         F.col(f"`{id_column}`").alias("doc_id"), F.col(f"`{text_column}`").alias("text")
     ).withColumn("mark", F.xxhash64("text"))
-    owned = source.select("doc_id", "mark", F.explode(F.array_distinct(found_entities(F.col("text")))).alias("value")).distinct()
+    # An outer explode, since an inner one would search the text again in a filter of its own.
+    found_once = F.explode_outer(F.array_distinct(found_entities(F.col("text"))))
+    owned = source.select("doc_id", "mark", found_once.alias("value")).where("value is not null").distinct()
     owned = materialize(owned, "entities")
     made = materialize(replacements(owned.select("value").distinct(), key), "replacements")
     own = owned.join(made, "value").groupBy("doc_id", "mark").agg(F.map_from_entries(F.collect_list(F.struct("value", "replaced"))).alias("own"))
