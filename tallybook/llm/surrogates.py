@@ -174,10 +174,13 @@ def surrogate(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
 def assign(parts: DataFrame, key: str) -> DataFrame:
     """kind, norm, made: distinct surrogates for distinct parts (kind, norm)."""
     accepted, attempt = None, 0
+    # Few bytes but much work a row: adaptive execution would leave them to one task.
+    partitions = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pending = parts
     while attempt < MAX_ROUNDS:
         seen = RowCounter()
-        tried = pending.select("kind", "norm", surrogate(F.col("kind"), F.col("norm"), F.lit(attempt), key).alias("made"))
+        spread = pending.repartition(partitions, "kind", "norm")
+        tried = spread.select("kind", "norm", surrogate(F.col("kind"), F.col("norm"), F.lit(attempt), key).alias("made"))
         tried = materialize(seen.watch(tried), "tried")
         if not seen.rows:
             return accepted if accepted is not None else tried
