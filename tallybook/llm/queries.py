@@ -68,9 +68,8 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic").where("toxic is not null").distinct()
-    labelled = docs.where(_remainder(4) != 2).select("doc_id", "text").join(labels, "doc_id")
-    model = toxicity.fit(labelled)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.fit_documents(docs.where(_remainder(4) != 2), labels)
     rows = docs.select("doc_id", F.coalesce(_remainder(4) == 2, F.lit(False)).alias("held_out"), "text")
     return toxicity.score(rows, model)
 

@@ -23,8 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.llm.letters import Grams
+from tallybook.llm.spread import broadcast_if_small
 from tallybook.llm.text import slices
-from tallybook.session import materialize
+from tallybook.session import RowCounter, materialize
 
 WIDTH = 6
 BUCKETS = 1 << 21
@@ -85,17 +86,47 @@ def _bucket_counts(batches):
             )
 
 
+def _label_counts(labelled: DataFrame) -> tuple[int, int]:
+    """Rows with label 1 and with label 0."""
+    per_label = {r["toxic"]: r["count"] for r in labelled.groupBy("toxic").count().collect()}
+    return per_label.get(1, 0), per_label.get(0, 0)
+
+
+def _sampled(labelled: DataFrame, pos: int, neg: int, max_docs: int) -> DataFrame:
+    """The rows whose hashed id falls into their label's share."""
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    share = F.when(F.col("toxic") == 1, F.lit(max_docs / max(1, pos))).otherwise(F.lit(max_docs / max(1, neg)))
+    return labelled.where(place < share)
+
+
 def fit(labelled: DataFrame, max_docs: int = MAX_DOCS) -> Model:
     """Model from rows (doc_id, text, toxic) with labels 0 and 1."""
     labelled = labelled.where("toxic is not null")
-    per_label = {r["toxic"]: r["count"] for r in labelled.groupBy("toxic").count().collect()}
-    pos, neg = per_label.get(1, 0), per_label.get(0, 0)
+    pos, neg = _label_counts(labelled)
+    return _fit(_sampled(labelled, pos, neg, max_docs), pos, neg)
+
+
+def fit_documents(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> Model:
+    """The same from documents (doc_id, text) and labels (doc_id, toxic).
+
+    Counts and sample come from a join of the ids alone; texts are read for sampled ids only, so
+    none is shuffled while the sample can be broadcast.
+    """
+    labels = labels.select("doc_id", "toxic").where("toxic is not null").distinct()
+    labelled = materialize(docs.select("doc_id").join(labels, "doc_id"), "labelled")
+    pos, neg = _label_counts(labelled)
+    seen = RowCounter()
+    chosen = materialize(seen.watch(_sampled(labelled, pos, neg, max_docs).distinct()), "chosen")
+    sample = docs.select("doc_id", "text").join(broadcast_if_small(chosen, seen.rows), "doc_id")
+    return _fit(sample, pos, neg)
+
+
+def _fit(sample: DataFrame, pos: int, neg: int) -> Model:
+    """Model from sampled rows, given the number of rows of each label."""
     if not pos or not neg:
         share = pos / (pos + neg) if pos + neg else 0.0
         return Model(np.zeros(0, np.int32), np.zeros(0), float(np.log(share / (1 - share))) if 0 < share < 1 else 50.0 * (2 * share - 1))
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    share = F.when(F.col("toxic") == 1, F.lit(max_docs / pos)).otherwise(F.lit(max_docs / neg))
-    sample = labelled.where(place < share).select("doc_id", "toxic", "text")
+    sample = sample.select("doc_id", "toxic", "text")
     features = materialize(sample.mapInArrow(_features, "doc_id bigint, toxic int, buckets binary"), "features")
     counts = features.mapInArrow(_bucket_counts, "bucket int, pos bigint, neg bigint").groupBy("bucket").agg(
         F.sum("pos").alias("pos"), F.sum("neg").alias("neg")

@@ -75,3 +75,13 @@ def test_one_label_only(awkward, nothing):
         assert {round(r.score, 6) for r in toxicity.score(awkward.select("doc_id", "text"), model).collect()} == {expected}
     model = toxicity.fit(nothing.select("doc_id", "text", F.lit(1).alias("toxic")))
     assert {round(r.score, 6) for r in toxicity.score(awkward.select("doc_id", "text"), model).collect()} == {0.0}
+
+
+def test_fit_on_ids_first_gives_the_same_model(spark, model):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    twice = labels.unionByName(labels).unionByName(labels.limit(3).withColumn("toxic", F.lit(None).cast(labels.schema["toxic"].dataType)))
+    other = toxicity.fit_documents(docs.withColumn("toxic", F.lit("clash")), twice)
+    assert other.buckets.tolist() == model.buckets.tolist()
+    assert np.allclose(other.weights, model.weights)
+    assert other.intercept == pytest.approx(model.intercept)
