@@ -44,11 +44,16 @@ def _timestamp_sql(t: str) -> str:
     for shape, pattern in refdata.TIMESTAMP_LAYOUTS:
         read = f"try_to_timestamp({t}, '{pattern}')" if pattern else f"try_cast({t} as timestamp)"
         shapes.append(f"when {t} rlike r'{shape}' then {read}")
-    # Year-first text only: a bare time of day would be read as today's.
-    last = [rf"when {t} rlike r'^\d{{4}}-\d{{1,2}}(-|$)' then try_cast({t} as timestamp)"]
+    last = []
     for shape, patterns in refdata.LAST_RESORT_LAYOUTS:
         tries = ", ".join(f"try_to_timestamp({t}, '{p}')" for p in patterns)
         last.append(f"when {t} rlike r'{shape}' then coalesce({tries})")
+    # Mail dates: a day of the week can be written but not read by a pattern.
+    mail = r"^[A-Za-z]{3}, \d{1,2} [A-Za-z]{3} \d{4} \d{1,2}:\d{1,2}:\d{1,2} GMT$"
+    middle = f"substring({t}, 6, length({t}) - 9)"
+    last.append(f"when {t} rlike r'{mail}' then try_to_timestamp({middle}, 'd MMM yyyy H:m:s')")
+    # Year-first text only: a bare time of day would be read as today's.
+    last.append(rf"when {t} rlike r'^\d{{4}}-\d{{1,2}}(-|$)' then try_cast({t} as timestamp)")
     return f"coalesce(case {' '.join(shapes)} end, case {' '.join(last)} end)"
 
 

@@ -49,6 +49,11 @@ def test_timestamp_texts(spark):
         "2026-02-14": datetime(2026, 2, 14), "20260214": datetime(2026, 2, 14),
         "2026-02-14T13:45:00+02:00": datetime(2026, 2, 14, 11, 45),
         "03/04/2026 05:06": datetime(2026, 3, 4, 5, 6), "03-04-2026 05:06": datetime(2026, 4, 3, 5, 6),
+        "14 Feb 2026 13:45": at, "February 14, 2026": datetime(2026, 2, 14), "14-Feb-2026": datetime(2026, 2, 14),
+        "2026/02/14 13:45": at, "14.02.2026 13:45": at, "Feb 14 2026 1:45 PM": at, "20260214T134500": at,
+        "2026-02-14 1:45 PM": at, "Sat, 14 Feb 2026 13:45:00 GMT": at, "02/14/2026 01:45:30 PM": at.replace(second=30),
+        "14 February 2026": datetime(2026, 2, 14), "Feb 14, 2026 13:45": at, "14.02.2026": datetime(2026, 2, 14),
+        "14-Abc-2026": None, "31.02.2026": None, "Sat, 14 Feb 2026 25:45:00 GMT": None,
         "14-32-2026": None, "2026-02-30 00:00:00": None, "10:11": None, "now": None, "": None, "123": None,
         "02/14/2026 13:45 PM": None, None: None,
     }
