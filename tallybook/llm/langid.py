@@ -8,6 +8,11 @@ density lets through by chance.
 Fitting uses a bounded sample: about `max_docs` labelled documents per language, chosen by a hash
 of the id. Prediction covers every text, whole.
 
+The filters hold a selection of each language's n-grams: those seen MIN_COUNT times in the sample
+(once, if the sample has under SMALL n-grams), with a rate of at least SHARE of the n-gram's
+highest rate in any language, and of these the MAX_GRAMS most frequent. Every language with a
+labelled text is in the list.
+
 Defined cases: a null text or one without letters gives `und` with score 0. A text with letters
 but without a vote goes to the first language, score 0; equal votes go to the first language by
 code point. Without labelled rows every text is `und`. Repeated rows are predicted alike; other
@@ -35,6 +40,11 @@ MAX_GRAMS = 100_000
 #: An n-gram enters a language's filter if its rate there is this share of its highest rate.
 SHARE = 0.3
 MIN_COUNT = 3
+#: A language with fewer n-grams in its sample is too little known to ask for repeats, and its
+#: rates count as if it had this many more: they can't take an n-gram from a large language.
+SMALL = 20_000
+#: How unlikely hits must be by chance for a text to count as known.
+ALPHA = 1e-3
 #: Slots and hash functions of the filters: at most 3 * 100 000 bits of 2^20 are set, so at most
 #: one n-gram in 64 passes by chance.
 SLOTS = 1 << 20
@@ -102,14 +112,21 @@ def _count_grams(batches):
 def fit(labelled: DataFrame, max_docs: int = MAX_DOCS, max_grams: int = MAX_GRAMS) -> Filters:
     """Filters from labelled rows (doc_id, text, lang), on about `max_docs` of each language."""
     labelled = labelled.where("lang is not null and text is not null")
-    share = labelled.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(max_docs)) / F.count(F.lit(1))).alias("share"))
+    # One row for each language.
+    sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
+    shares = [(r.lang, min(1.0, max_docs / r.n)) for r in sizes]
+    share = labelled.sparkSession.createDataFrame(shares, "lang string, share double")
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
     sample = labelled.join(F.broadcast(share), "lang").where(place < F.col("share")).select("lang", "text")
     counts = sample.mapInArrow(_count_grams, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    counts = counts.withColumn("rate", F.col("n") / F.sum("n").over(Window.partitionBy("lang")))
+    counts = counts.withColumn("total", F.sum("n").over(Window.partitionBy("lang")))
+    seen = (F.col("n") >= MIN_COUNT) | (F.col("total") < SMALL)
+    counts = counts.where(seen).withColumn("rate", F.col("n") / F.col("total"))
+    # Rare n-grams and rates of small samples are no ground to leave an n-gram out elsewhere.
+    sure = F.when(F.col("n") >= MIN_COUNT, F.col("n") / (F.col("total") + SMALL))
     chosen = (
-        counts.withColumn("best", F.max("rate").over(Window.partitionBy("gram")))
-        .where((F.col("rate") >= F.col("best") * SHARE) & (F.col("n") >= MIN_COUNT))
+        counts.withColumn("best", F.coalesce(F.max(sure).over(Window.partitionBy("gram")), F.lit(0.0)))
+        .where(F.col("rate") >= F.col("best") * SHARE)
         .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram")))
         .where(F.col("rank") <= max_grams)
         .select("lang", "gram")
@@ -118,7 +135,7 @@ def fit(labelled: DataFrame, max_docs: int = MAX_DOCS, max_grams: int = MAX_GRAM
     table = chosen.toArrow()
     langs = np.array(table.column("lang").to_pylist(), dtype=object)
     grams = table.column("gram").to_numpy()
-    languages = sorted(set(langs), key=lambda s: s.encode())
+    languages = sorted({r.lang for r in sizes}, key=lambda s: s.encode())
     return Filters.build(languages, {name: grams[langs == name] for name in languages})
 
 

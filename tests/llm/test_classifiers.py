@@ -1,6 +1,7 @@
 """Language and toxicity predictions on held-out documents."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,3 +86,16 @@ def test_fit_on_ids_first_gives_the_same_model(spark, model):
     assert other.buckets.tolist() == model.buckets.tolist()
     assert np.allclose(other.weights, model.weights)
     assert other.intercept == pytest.approx(model.intercept)
+
+
+def test_a_small_language_takes_nothing_and_stays(spark):
+    """One mislabelled document neither empties the large language's filter nor drops out."""
+    texts = [f"the weather in the north is cold and the wind blows over hill number {'abcdefghij'[i % 10]}" for i in range(300)]
+    rows = [(i, t, "en") for i, t in enumerate(texts)] + [(900, "the the wind", "xx"), (901, "zqj vkw", "yy")]
+    filters = langid.fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    assert filters.languages == ["en", "xx", "yy"]
+    asked = spark.createDataFrame([(1, texts[0]), (2, "zqj vkw")], "doc_id bigint, text string")
+    found = {r.doc_id: r.lang_pred for r in langid.predict(asked, filters).collect()}
+    assert found == {1: "en", 2: "yy"}
+    en = filters.votes(langid.Grams(pa.array(["the wind the wind"]), langid.WIDTH))[0, 0]
+    assert en == pytest.approx(14, abs=0.5)
