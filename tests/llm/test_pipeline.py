@@ -86,4 +86,4 @@ def test_awkward_rows(spark, awkward, nothing):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(n.split("_")[0][2:]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n.split("_")[0][2:]) for n in queries.QUERIES) == list(range(1, 14))
