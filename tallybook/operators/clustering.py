@@ -2,19 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, ElementwiseProduct, StandardScaler, VectorAssembler, VectorSlicer
-from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tallybook.session import materialize
 
 RESTARTS = 10
 SEED = 42
+MAX_ROUNDS = 300
+TOLERANCE = 1e-4
 
 
 @dataclass(frozen=True)
@@ -71,17 +78,216 @@ def loadings_table(spark, components: Components, top: int = 5) -> DataFrame:
     return spark.createDataFrame(rows, "component int, feature string, loading double")
 
 
+def covariance_table(spark, components: Components, total_variance: float) -> DataFrame:
+    """(feature, other, covariance) that all components together stand for."""
+    variances = components.ratios * total_variance
+    matrix = (components.loadings * variances) @ components.loadings.T
+    rows = [
+        (a, b, float(matrix[i, j])) for i, a in enumerate(components.columns) for j, b in enumerate(components.columns) if a <= b
+    ]
+    return spark.createDataFrame(rows, "feature string, other string, covariance double")
+
+
 def pick_components(projected: DataFrame, indices: list[int], output: str = "picked") -> DataFrame:
     return VectorSlicer(inputCol="components", outputCol=output, indices=indices).transform(projected)
 
 
-def best_kmeans(points: DataFrame, k: int, column: str = "components", restarts: int = RESTARTS) -> KMeansModel:
+@dataclass(frozen=True)
+class KMeansFit:
+    """Centres numbered by size, the largest cluster first, then by their coordinates."""
+
+    centres: np.ndarray
+    sizes: list[int]
+    inertia: float
+    column: str
+
+    def transform(self, points: DataFrame, output: str = "cluster") -> DataFrame:
+        """Add the number of the nearest centre, the smaller one of a tie."""
+        x = vector_to_array(self.column)
+        distances = F.array(
+            *[
+                F.aggregate(
+                    F.zip_with(x, F.array(*[F.lit(float(v)) for v in centre]), lambda a, b: (a - b) * (a - b)),
+                    F.lit(0.0),
+                    lambda total, part: total + part,
+                )
+                for centre in self.centres
+            ]
+        )
+        staged = points.withColumn("__distances", distances)
+        nearest = F.array_position("__distances", F.array_min("__distances")) - 1
+        return staged.withColumn(output, nearest.cast("int")).drop("__distances")
+
+
+def _points(df: DataFrame, column: str) -> DataFrame:
+    """(x, id): coordinates and a hash of the row, which draws the starting points."""
+    hashed = [F.col(f.name) for f in df.schema if not isinstance(f.dataType, (VectorUDT, T.MapType))]
+    x = vector_to_array(column)
+    return materialize(df.select(x.alias("x"), F.xxhash64(x, *hashed).alias("id")), "points")
+
+
+def _matrix(batch: pa.RecordBatch) -> np.ndarray:
+    flat = batch.column("x").flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(batch.num_rows, -1) if batch.num_rows else np.zeros((0, 0))
+
+
+def _squares(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distances, one row per point and one column per centre."""
+    return np.maximum(0.0, (x * x).sum(axis=1)[:, None] - 2 * x @ centres.T + (centres * centres).sum(axis=1))
+
+
+def _draw(salt: int, ids: np.ndarray) -> np.ndarray:
+    """Numbers in (0, 1] that depend on the row's hash and the draw only."""
+    z = ids.view(np.uint64) + np.uint64((salt + 1) * 0x9E3779B97F4A7C15 % (1 << 64))
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        z = (z ^ (z >> np.uint64(shift))) * np.uint64(factor)
+    return ((z ^ (z >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) / 2**53 + 2**-54
+
+
+def _starting_points(points: DataFrame, k: int, restarts: int, seed: int) -> list[np.ndarray]:
+    """Per restart k centres, each drawn with a chance proportional to its squared distance from
+    those before it. One pass adds a centre to every restart: the point whose exponential
+    waiting time, at a rate of that distance, is the shortest."""
+    chosen: list[list[np.ndarray]] = [[] for _ in range(restarts)]
+    for step in range(k):
+        held = [np.array(c) for c in chosen]
+
+        def race(batches, step=step, held=held):
+            best: dict[int, tuple[float, list[float]]] = {}
+            for batch in batches:
+                x, ids = _matrix(batch), batch.column("id").to_numpy()
+                for restart in range(restarts if len(x) else 0):
+                    rate = np.ones(len(x)) if step == 0 else _squares(x, held[restart]).min(axis=1)
+                    wait = np.full(len(x), np.inf)
+                    some = rate > 1e-18
+                    wait[some] = -np.log(_draw((seed + restart) * 64 + step, ids[some])) / rate[some]
+                    first = int(wait.argmin())
+                    key = (float(wait[first]), x[first].tolist())
+                    best[restart] = min(best.get(restart, key), key)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(list(best), pa.int32()),
+                    pa.array([w for w, _ in best.values()], pa.float64()),
+                    pa.array([p for _, p in best.values()], pa.list_(pa.float64())),
+                ],
+                names=["restart", "wait", "x"],
+            )
+
+        raced = points.mapInArrow(race, "restart int, wait double, x array<double>")
+        # One row for each restart.
+        for row in raced.groupBy("restart").agg(F.min(F.struct("wait", "x")).alias("best")).collect():
+            chosen[row.restart].append(np.array(row.best.x))
+    return [np.array(c) for c in chosen]
+
+
+#: Sums are kept in units of 2^-24, so that they don't depend on the order of adding.
+_UNIT = float(1 << 24)
+
+
+def _pass(points: DataFrame, models: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, float]]:
+    """Per model the sizes of its clusters, their sums, and its inertia: one pass for all models."""
+    def sums(batches):
+        counts = [np.zeros(len(m), np.int64) for m in models]
+        totals = [np.zeros(m.shape, np.int64) for m in models]
+        costs = [np.zeros(len(m), np.int64) for m in models]
+        for batch in batches:
+            x = _matrix(batch)
+            if not len(x):
+                continue
+            fixed = np.rint(x * _UNIT).astype(np.int64)
+            for at, centres in enumerate(models):
+                squares = _squares(x, centres)
+                nearest = squares.argmin(axis=1)
+                counts[at] += np.bincount(nearest, minlength=len(centres))
+                np.add.at(totals[at], nearest, fixed)
+                np.add.at(costs[at], nearest, np.rint(squares[np.arange(len(x)), nearest] * _UNIT).astype(np.int64))
+        rows = [(at, c) for at, m in enumerate(models) for c in range(len(m)) if counts[at][c]]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([at for at, _ in rows], pa.int32()),
+                pa.array([c for _, c in rows], pa.int32()),
+                pa.array([[counts[at][c], costs[at][c], *totals[at][c]] for at, c in rows], pa.list_(pa.int64())),
+            ],
+            names=["model", "cluster", "sums"],
+        )
+
+    parts = points.mapInArrow(sums, "model int, cluster int, sums array<bigint>")
+    added = parts.select("model", "cluster", F.posexplode("sums").alias("at", "value"))
+    out = [(np.zeros(len(m), np.int64), np.zeros(m.shape), 0.0) for m in models]
+    # One row for each centre and coordinate.
+    for r in added.groupBy("model", "cluster", "at").agg(F.sum("value").alias("value")).collect():
+        sizes, totals, cost = out[r.model]
+        if r["at"] == 0:
+            sizes[r.cluster] = r.value
+        elif r["at"] == 1:
+            out[r.model] = (sizes, totals, cost + r.value / _UNIT)
+        else:
+            totals[r.cluster, r["at"] - 2] = r.value / _UNIT
+    return out
+
+
+def fit_kmeans(
+    points: DataFrame, ks: Iterable[int], column: str = "components", restarts: int = RESTARTS, seed: int = SEED,
+    max_rounds: int = MAX_ROUNDS, tolerance: float = TOLERANCE,
+) -> dict[int, KMeansFit]:
+    """For each k the cheapest of several runs from different starting points.
+
+    All runs of all k advance together, with one pass over the written points for each round.
+    A run ends when its centres move by less than the tolerance, in terms of their spread.
+    """
+    ks = sorted(set(ks))
+    rows = _points(points, column)
+    starts = _starting_points(rows, max(ks), restarts, seed)
+    models = {(k, r): starts[r][:k] for k in ks for r in range(restarts) if len(starts[r])}
+    if not models:
+        return {k: KMeansFit(np.zeros((0, 0)), [], 0.0, column) for k in ks}
+    moving = set(models)
+    spread = rows.select(F.posexplode("x").alias("at", "v")).groupBy("at").agg(F.var_pop("v").alias("v")).agg(F.avg("v")).first()[0]
+    for _ in range(max_rounds):
+        names = sorted(moving)
+        for name, (sizes, totals, _) in zip(names, _pass(rows, [models[n] for n in names])):
+            moved = np.where(sizes[:, None] > 0, totals / np.maximum(sizes, 1)[:, None], models[name])
+            if ((moved - models[name]) ** 2).sum() <= tolerance * spread:
+                moving.discard(name)
+            models[name] = moved
+        if not moving:
+            break
+    names = sorted(models)
+    best: dict[int, KMeansFit] = {}
+    for (k, _), (sizes, _, inertia), centres in zip(names, _pass(rows, [models[n] for n in names]), [models[n] for n in names]):
+        if k not in best or inertia < best[k].inertia:
+            order = sorted(range(len(centres)), key=lambda c: (-sizes[c], centres[c].tolist()))
+            best[k] = KMeansFit(centres[order], [int(sizes[c]) for c in order], float(inertia), column)
+    return best
+
+
+def best_kmeans(points: DataFrame, k: int, column: str = "components", restarts: int = RESTARTS) -> KMeansFit:
     """The cheapest of several runs from different starting points."""
-    models = [
-        KMeans(k=k, featuresCol=column, predictionCol="cluster", seed=SEED + i).fit(points)
-        for i in range(restarts)
-    ]
-    return min(models, key=lambda m: m.summary.trainingCost)
+    return fit_kmeans(points, [k], column, restarts)[k]
+
+
+def check_fits(points: DataFrame, fits: dict[int, KMeansFit]) -> DataFrame:
+    """Per k: points, clusters in use, points that another centre is nearer to, and the relative
+    error of the inertia, all computed again from the assigned rows."""
+    found = None
+    for k, fit in fits.items():
+        x = vector_to_array(fit.column)
+
+        def squared(centre: Column) -> Column:
+            return F.aggregate(F.zip_with(x, centre, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v)
+
+        centres = F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in fit.centres])
+        rows = fit.transform(points).withColumn("__centres", centres).withColumn("__own", squared(F.col("__centres")[F.col("cluster")]))
+        nearer = F.exists("__centres", lambda c: squared(c) < F.col("__own"))
+        one = rows.agg(
+            F.lit(k).alias("k"),
+            F.count(F.lit(1)).alias("points"),
+            F.count_distinct("cluster").alias("clusters"),
+            F.count_if(nearer).alias("misplaced"),
+            F.round(F.abs(F.sum("__own") - fit.inertia) / max(fit.inertia, 1e-9), 5).alias("inertia_error"),
+        )
+        found = one if found is None else found.unionByName(one)
+    return found
 
 
 def silhouette(clustered: DataFrame, column: str = "components") -> float:
@@ -102,9 +308,7 @@ def crosstab(clustered: DataFrame, k: int, label: str = "failure_code") -> DataF
 
 
 def choose_k(points: DataFrame, ks=range(2, 9), column: str = "components", restarts: int = RESTARTS) -> DataFrame:
-    """Inertia and silhouette for each number of clusters."""
-    rows = []
-    for k in ks:
-        model = best_kmeans(points, k, column, restarts)
-        rows.append((k, float(model.summary.trainingCost), float(silhouette(model.transform(points), column))))
+    """Inertia and silhouette for each number of clusters; all are fitted together."""
+    fits = fit_kmeans(points, ks, column, restarts)
+    rows = [(k, fits[k].inertia, float(silhouette(fits[k].transform(points), column))) for k in fits]
     return points.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")

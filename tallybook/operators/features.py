@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -97,8 +98,11 @@ class FeatureModel:
             ("industry", "industry_name", self.industries),
             ("country", "hq_country", self.countries),
         ):
+            # A value that was not learned would become all zeros, so it stops the job.
+            message = F.concat(F.lit(f"unknown {prefix}: "), F.col(source))
+            known = F.when(F.col(source).isNull() | F.col(source).isin(values), F.col(source)).otherwise(F.raise_error(message))
             for v in values:
-                columns[slug(prefix, v)] = F.coalesce(F.col(source) == v, F.lit(False)).cast("double")
+                columns[slug(prefix, v)] = F.coalesce(known == v, F.lit(False)).cast("double")
         return derived.select(
             "quarantine_id", "failure_code", *[columns[c].alias(c) for c in self.columns]
         )
@@ -131,6 +135,11 @@ def fit(derived: DataFrame, industries: list[str], countries: list[str]) -> Feat
     return FeatureModel(fills, ranges, industries, countries)
 
 
+def as_vector(matrix: DataFrame, columns: list[str], output: str = "components") -> DataFrame:
+    """The matrix with its features as one vector column."""
+    return VectorAssembler(inputCols=columns, outputCol=output).transform(matrix).drop(*columns)
+
+
 def split_by_company(matrix: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(records with a known company, records without)."""
     return matrix.where("company_known = 1"), matrix.where("company_known = 0")

@@ -174,3 +174,25 @@ def running_total(
         .withColumn(name, F.sum(value).over(inside) + F.col("__open"))
         .drop("__p", "__q", "__open", *[f"__{k}" for k in keys])
     )
+
+
+def numbered(df: DataFrame, order: list[Column], name: str, partitions: int | None = None) -> DataFrame:
+    """Add `name`: 1, 2, 3... in `order`, which should tell all rows apart.
+
+    Rows are sorted in range partitions, written once, and each range starts after the rows of
+    those before it, so only one count per range is carried.
+    """
+    from pyspark.sql import Window
+
+    partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(partitions, *order).withColumn("__range", F.spark_partition_id())
+    ranged = materialize(ranged, "ranges")
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("__n")).select(
+        F.col("__range").alias("__of"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start")
+    )
+    inside = F.row_number().over(Window.partitionBy("__range").orderBy(*order))
+    placed = ranged.withColumn("__place", inside)
+    # One row for each range.
+    joined = placed.join(F.broadcast(starts), placed["__range"] == starts["__of"])
+    return joined.withColumn(name, F.col("__start") + F.col("__place")).select(*df.columns, name)

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,7 +19,8 @@ CANONICAL = ["tx_id", "c_id", "base_cncy", "quote_cncy", "amount", "fee_amount",
 
 @dataclass(frozen=True)
 class Rule:
-    """A quarantine rule. A row for which `broken` is true, or unknown, violates it."""
+    """A quarantine rule. A row violates it if `broken` is true, unknown, or can't be computed:
+    a division by zero, a cast of unfit text, an overflow, or an element that isn't there."""
 
     code: str
     reason: str
@@ -92,24 +94,46 @@ def coerce_types(df: DataFrame) -> DataFrame:
     return df.withColumns({"amount": amount, "fee_amount": fee})
 
 
-def broken_rules(rules: list[Rule]) -> Column:
-    """How many rules a row violates."""
-    return F.expr(" + ".join(f"if(coalesce({r.broken}, true), 1, 0)" for r in rules) or "0")
+@contextmanager
+def _errors_as_null(spark: SparkSession):
+    """Expressions analyzed inside give NULL where they would raise; plans made before or after
+    keep raising, as each expression keeps the mode it was analyzed in."""
+    held = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", held)
 
 
-def explode_violations(
-    df: DataFrame, kept: list[str], rules: list[Rule], dirty: dict[str, str] | None = None
-) -> DataFrame:
-    """One row per broken rule: the `kept` columns plus code, reason and dirty value.
+_FLAGS = "__broken"
+
+
+def flag_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Add an array with one flag for each rule: whether the row violates it."""
+    if not rules:
+        return df.withColumn(_FLAGS, F.array().cast("array<boolean>"))
+    flags = ", ".join(f"coalesce(cast(({r.broken}) as boolean), true)" for r in rules)
+    with _errors_as_null(df.sparkSession):
+        return df.withColumn(_FLAGS, F.expr(f"array({flags})"))
+
+
+def n_broken() -> Column:
+    """How many rules a row with flags violates."""
+    return F.size(F.filter(_FLAGS, lambda broken: broken))
+
+
+def explode_flags(df: DataFrame, kept: list[str], rules: list[Rule], dirty: dict[str, str] | None = None) -> DataFrame:
+    """One row per flag set: the `kept` columns plus code, reason and dirty value.
 
     `dirty` names, per canonical column, the column holding its text before parsing.
     """
     entries = []
-    for rule in rules:
+    for at, rule in enumerate(rules):
         source = (dirty or {}).get(rule.dirty_column) if rule.dirty_column else None
         entries.append(
             F.when(
-                F.coalesce(F.expr(rule.broken), F.lit(True)),
+                F.col(_FLAGS)[at],
                 F.struct(
                     F.lit(rule.code).alias("failure_code"),
                     F.lit(rule.reason).alias("failure_reason"),
@@ -117,6 +141,9 @@ def explode_violations(
                 ),
             )
         )
+    if not entries:
+        none = F.lit(None).cast("string")
+        return df.limit(0).select(*kept, *[none.alias(c) for c in ("failure_code", "failure_reason", "dirty_value")])
     exploded = df.select(*kept, F.explode(F.array(*entries)).alias("__v"))
     return exploded.where("__v is not null").select(*kept, "__v.*")
 
@@ -127,16 +154,24 @@ def split_quarantine(
     """(clean, quarantine): quarantine has one row per violation, clean no violating row."""
     rules = RULES if rules is None else rules
     kept = [c for c in df.columns if c not in (dirty or {}).values()]
-    clean = df.where(broken_rules(rules) == 0).select(*kept)
-    return clean, explode_violations(df, kept, rules, dirty)
+    flagged = flag_rules(df, rules)
+    return flagged.where(n_broken() == 0).select(*kept), explode_flags(flagged, kept, rules, dirty)
 
 
 _DIRTY = {c: f"_raw_{c}" for c in ("c_id", "amount", "base_cncy", "tx_timestamp")}
 
 
-def parse_feed(df: DataFrame, names: DataFrame, valid_id=parsing.uuid_text) -> DataFrame:
-    """All parsers in one chain of projections; the text before parsing stays in `_raw_*`."""
-    df = rename_columns(df)
+def parse_feed(
+    df: DataFrame, names: DataFrame, valid_id=parsing.uuid_text, mapping: dict[str, str] | None = None
+) -> DataFrame:
+    """All parsers in one chain of projections; the text before parsing stays in `_raw_*`.
+
+    `mapping` adds feed column names to the known ones. A feed names its company in `c_id` or,
+    after renaming, in `company_id`.
+    """
+    df = rename_columns(df, {**refdata.FEED_COLUMNS, **(mapping or {})})
+    if "c_id" not in df.columns:
+        df = df.withColumnRenamed("company_id", "c_id")
     if "quote_cncy" not in df.columns:
         df = df.withColumn("quote_cncy", F.lit(None).cast("string"))
     df = df.withColumns({raw: F.col(c) for c, raw in _DIRTY.items()})
@@ -152,21 +187,24 @@ def normalize_receipts(
     rules: list[Rule] | None = None,
     valid_id=parsing.uuid_text,
     stage: Callable[[DataFrame], DataFrame] | None = None,
+    mapping: dict[str, str] | None = None,
 ) -> Normalized:
     """Rename, parse, coerce and split one feed. Columns beyond the canonical ones pass.
 
+    `mapping` names the canonical column of feed columns, besides the known names.
+
     Clean rows and quarantine are two reads of the parsed rows. `stage`, for example
     `session.materialize`, stores those once so that the feed is parsed once.
     """
     rules = RULES if rules is None else rules
     # Rules see the parsed double, so an amount below the stored precision still counts as
     # positive. The parsed values stay apart from the coerced ones until the rules have run.
-    parsed = parse_feed(df, names, valid_id).withColumn("broken", broken_rules(rules))
+    parsed = flag_rules(parse_feed(df, names, valid_id, mapping), rules).withColumn("broken", n_broken())
     if stage is not None:
         parsed = stage(parsed)
-    extra = [c for c in df.columns if c in parsed.columns and c not in CANONICAL]
+    extra = [c for c in df.columns if c in parsed.columns and c not in (*CANONICAL, "broken", _FLAGS)]
     kept = CANONICAL + extra
-    annotated = coerce_types(parsed)
+    annotated = coerce_types(parsed.drop(_FLAGS))
     clean = annotated.where("broken = 0").select(*kept)
-    violating = explode_violations(parsed.where("broken > 0"), kept, rules, _DIRTY)
+    violating = explode_flags(parsed.where("broken > 0"), kept, rules, _DIRTY)
     return Normalized(annotated, clean, coerce_types(violating))

@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybook import refdata
-from tallybook.functions import ids
+from tallybook.functions import ids, timekeys
 from tallybook.operators import joins
-from tallybook.operators.normalize import RULES, Rule, broken_rules, explode_violations
+from tallybook.operators.normalize import RULES, Rule, explode_flags, flag_rules, n_broken
 
 EVENT_COLUMNS = [
     "quarantine_id", "tx_id", "c_id", "base_cncy", "quote_cncy", "amount", "fee_amount",
@@ -85,7 +85,8 @@ def raw_violations(
     checked = joins.attach(raw, known, [("c_id", "c_id")], ["__company"])
     checked = joins.attach(checked, codes, [("base_cncy", "cncy_code")], ["__currency"])
     checked = joins.attach_group_size(checked, ["tx_id"], "__copies")
-    exploded = explode_violations(checked, raw.columns, RAW_RULES if rules is None else rules)
+    rules = RAW_RULES if rules is None else rules
+    exploded = explode_flags(flag_rules(checked, rules), raw.columns, rules)
     return exploded.drop("dirty_value").withColumn("source", F.lit("sql_layer"))
 
 
@@ -103,16 +104,25 @@ def quarantine_log(
 
 
 def unresolved(
-    events: DataFrame, resolutions: DataFrame, companies: DataFrame, codes: list[str]
+    events: DataFrame, resolutions: DataFrame, companies: DataFrame, codes: list[str] | str,
+    iso: bool = False,
 ) -> DataFrame:
-    """Records with one of `codes` and no resolution, with the company name, newest first."""
+    """Records with one of `codes` and no resolution, with the company name, newest first.
+
+    `codes` may be one text with commas between the codes; blanks around them and empty ones
+    don't count. With `iso`, times are ISO text.
+    """
+    wanted = codes.split(",") if isinstance(codes, str) else codes
     open_rows = joins.not_in(
-        events.where(F.col("failure_code").isin([c.strip() for c in codes])),
+        events.where(F.col("failure_code").isin([c.strip() for c in wanted if c.strip()])),
         resolutions,
         ["quarantine_id"],
     )
     named = joins.attach(open_rows, companies, [("c_id", "c_id")], ["c_name"])
-    return named.orderBy(F.desc("ingestion_timestamp"), "quarantine_id")
+    newest_first = named.orderBy(F.desc("ingestion_timestamp"), "quarantine_id")
+    if not iso:
+        return newest_first
+    return newest_first.withColumns({c: timekeys.iso_text(F.col(c)) for c in ("tx_timestamp", "ingestion_timestamp")})
 
 
 def rows_page(
@@ -303,7 +313,8 @@ def resolve(
             rows = rows.withColumn(name, F.lit(value).cast(types[name]))
     once = joins.dedupe(rows, ["tx_id"]).withColumn("ingestion_timestamp", now)
     rules = RULES if rules is None else rules
-    good = once.where(broken_rules(rules) == 0)
-    bad = explode_violations(once, once.columns, rules).drop("dirty_value")
+    flagged = flag_rules(once, rules)
+    good = flagged.where(n_broken() == 0).select(*once.columns)
+    bad = explode_flags(flagged, once.columns, rules).drop("dirty_value")
     again = refdata._uuid5(refdata.SURROGATE_NAMESPACE, f"requeue:{resolved_by}:{resolved_at.isoformat()}")
     return Resolution(good, bad, audit, unfit, again)

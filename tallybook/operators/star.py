@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tallybook.functions import ids, timekeys
 from tallybook.operators import asof, joins
+from tallybook.session import scratch_path
 
 
 def _unless_known(new: DataFrame, existing: DataFrame | None, keys: list[str]) -> DataFrame:
@@ -65,6 +66,32 @@ def ensure_midnights(times: DataFrame) -> DataFrame:
     return _time_rows(joins.not_in(midnights, times, ["time_id"]))
 
 
+def promote_times_and_midnights(
+    transactions: DataFrame, expenses: DataFrame, existing: DataFrame | None = None
+) -> DataFrame:
+    """Rows for all transaction and expense times and for the midnights of their days.
+
+    `existing` needs to hold the rows of those days only.
+    """
+    stamps = transactions.select(F.col("tx_timestamp").cast("timestamp").alias("ts")).union(
+        expenses.select(F.col("expense_timestamp").cast("timestamp"))
+    )
+    time_id = timekeys.time_id(F.col("ts"))
+    both = F.explode(F.array(time_id, timekeys.day_key(time_id)))
+    keys = stamps.where("ts is not null").select(both.alias("time_id")).distinct()
+    return _time_rows(_unless_known(keys, existing, ["time_id"]))
+
+
+def last_ticks(ticks: DataFrame) -> DataFrame:
+    """The last tick of each pair and calendar day; of equal times the greatest rate."""
+    pair = ["base_cncy", "quote_cncy"]
+    day = F.to_date("fx_timestamp").alias("__day")
+    latest = ticks.where("fx_timestamp is not null").groupBy(*pair, day).agg(
+        F.max_by(F.struct("fx_timestamp", "rate"), F.struct("fx_timestamp", "rate")).alias("__t")
+    )
+    return latest.select(*pair, "__t.fx_timestamp", "__t.rate")
+
+
 def promote_transactions(
     transactions: DataFrame,
     existing: DataFrame | None = None,
@@ -97,6 +124,19 @@ def transaction_windows(
         first += timedelta(days=batch_days)
 
 
+def staged_windows(transactions: DataFrame, first: datetime, batch_days: int = 60) -> DataFrame:
+    """The transactions written once, partitioned by their `window`: consecutive spans of
+    `batch_days` from `first` on, numbered from 0. Rows without a time are left out."""
+    spark = transactions.sparkSession
+    width = batch_days * timekeys.MICROS_PER_DAY
+    since = F.unix_micros("tx_timestamp") - F.unix_micros(F.lit(first))
+    number = F.floor(since / F.lit(width)).cast("int")
+    windowed = transactions.where("tx_timestamp is not null").withColumn("window", number)
+    path = scratch_path(spark, "windows")
+    windowed.hint("rebalance", F.col("window")).write.partitionBy("window").parquet(path)
+    return spark.read.schema(windowed.schema).parquet(path)
+
+
 def promote_expenses(expenses: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     facts = expenses.where("expense_timestamp is not null").select(
         "expense_id",
@@ -120,12 +160,18 @@ def promote_conversions(
         how="inner",
         **tuning,
     )
+    return conversion_rows(matched).drop("tx_timestamp")
+
+
+def conversion_rows(matched: DataFrame) -> DataFrame:
+    """Conversion facts, with their transaction's time, of transactions matched with a rate."""
     return matched.select(
         ids.surrogate_id("cx", F.col("tx_id")).alias("cx_id"),
         F.col("amount").cast("decimal(18,4)").alias("base_amount"),
         F.coalesce(F.col("fee_amount").cast("decimal(16,4)"), F.lit(0).cast("decimal(16,4)")).alias("fee_amount"),
         fx_key().alias("fx_id"),
         "tx_id",
+        "tx_timestamp",
     )
 
 

@@ -7,6 +7,7 @@ events as a dirty feed. Ids are integers here; all operators take ids of any typ
 
 from __future__ import annotations
 
+from datetime import datetime
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +24,7 @@ SOURCE_SCHEMAS = {
     "region": "r_regionkey int, r_name string",
     "nation": "n_nationkey int, n_name string, n_regionkey int",
     "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
     "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
     "o_orderdate timestamp_ntz, o_orderpriority string",
     "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
@@ -147,6 +149,39 @@ class Domain:
             (F.col("l_linenumber") % 6).alias("category_id"),
         )
 
+    @cached_property
+    def recent_expenses(self) -> DataFrame:
+        """The expenses moved into the month of the events."""
+        hours = F.pmod(F.col("expense_id"), F.lit(30)) * 24 + F.pmod(F.col("expense_id"), F.lit(24))
+        at = F.lit(datetime(2024, 1, 1)) + F.make_dt_interval(hours=hours.cast("int"))
+        return self.expenses.withColumn("expense_timestamp", at.cast("timestamp"))
+
+    @cached_property
+    def polls(self) -> DataFrame:
+        """One poll for each hour with ticks: the lowest rate of each currency."""
+        hour = F.date_trunc("hour", "fx_timestamp").alias("polled_at")
+        quotes = self.fx_ticks.groupBy(hour, "base_cncy", "quote_cncy").agg(F.min("rate").alias("rate"))
+        n = quotes.groupBy("polled_at").agg(F.count(F.lit(1)).cast("int").alias("n_quotes"))
+        return quotes.join(n, "polled_at").select(
+            F.lit("api").alias("source"), F.col("polled_at").cast("string").alias("poll_id"), "polled_at", "n_quotes",
+            "base_cncy", "quote_cncy", "rate",
+        )
+
+    @cached_property
+    def company_requests(self) -> DataFrame:
+        """A request for each customer, some of them with an unknown industry or currency, or no fit weight."""
+        names = ", ".join(f"'{n}'" for n in [*refdata.INDUSTRIES, "Mining"])
+        codes = ", ".join(f"'{c}'" for c in [*CODES, "XXX"])
+        key = F.col("c_custkey")
+        return self.read("customer").select(
+            key,
+            F.concat(F.lit(" "), F.col("c_name")).alias("name"),
+            F.try_element_at(F.expr(f"array({names})"), (F.pmod(key, F.lit(len(refdata.INDUSTRIES) + 1)) + 1).cast("int")).alias("industry"),
+            F.col("c_nationkey").cast("string").alias("hq_country"),
+            F.try_element_at(F.expr(f"array({codes})"), (F.pmod(key, F.lit(len(CODES) + 1)) + 1).cast("int")).alias("default_cncy"),
+            (F.pmod(key, F.lit(110)) / 100).cast("double").alias("weight"),
+        )
+
     @cached_property
     def raw_bad(self) -> DataFrame:
         part = F.col("l_partkey")

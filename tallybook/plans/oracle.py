@@ -102,6 +102,14 @@ SUBQUERIES: dict[str, str] = {
         l_linenumber % 6 as category_id
         from lineitem qualify row_number() over (partition by l_orderkey, l_linenumber
           order by l_partkey, l_suppkey, l_shipdate, l_extendedprice, l_quantity, l_tax) = 1""",
+    "recent_expense": """select expense_id, c_id, cncy, amount, category_id,
+        timestamp '2024-01-01' + to_hours(cast((expense_id % 30) * 24 + expense_id % 24 as integer)) as expense_timestamp from expense""",
+    "poll": """select date_trunc('hour', fx_timestamp) as polled_at, base_cncy, quote_cncy, min(rate) as rate,
+        epoch(date_trunc('hour', fx_timestamp)) // 3600 as hour_no from fx_rate group by all""",
+    "company_request": f"""select c_custkey, trim(c_name) as name, c_nationkey::varchar as hq_country,
+        case c_custkey % {len(refdata.INDUSTRIES) + 1} {' '.join(f"when {i} then '{n}'" for i, n in enumerate([*refdata.INDUSTRIES, "Mining"]))} end as industry,
+        case c_custkey % {len(CODES) + 1} {' '.join(f"when {i} then '{c}'" for i, c in enumerate([*CODES, "XXX"]))} end as default_cncy,
+        cast(c_custkey % 110 as double) / 100 as weight from customer""",
     "raw_bad": """select l_orderkey * 8 + l_linenumber as tx_id,
         case when l_partkey % 50 = 0 then null else l_partkey % (n + 5) end as c_id,
         case l_partkey % 20 when 0 then 'XXX' when 1 then null else 'USD' end as base_cncy,
@@ -205,6 +213,22 @@ SUBQUERIES: dict[str, str] = {
     "cx": f"""select {surrogate_sql('cx', 'tx_id')} as cx_id, amount as base_amount, fee_amount,
         {surrogate_sql('fx', 'rate', 'base_cncy', 'quote_cncy')} as fx_id, tx_id, rate, base_cncy, quote_cncy
         from matched where rate is not null""",
+    "rex": """select expense_id, amount, cncy, c_id, epoch_us(expense_timestamp) as time_id,
+        expense_timestamp as t_stamp, category_id from recent_expense""",
+    "recent_revenue": """select industry_id, date_trunc('day', t_stamp) as day, sum(amount) as total_revenue,
+        count(*) as transaction_count, count(distinct itx.c_id) as company_count
+        from itx join d_company on itx.c_id = d_company.c_id group by 1, 2""",
+    "recent_cost": """select industry_id, date_trunc('day', t_stamp) as day, sum(amount) as total_expenses
+        from rex join d_company on rex.c_id = d_company.c_id group by 1, 2""",
+    "recent_daily": f"""select r.industry_id, r.day, total_revenue, coalesce(total_expenses, 0) as total_expenses,
+        total_revenue - coalesce(total_expenses, 0) as net_profit, transaction_count, company_count,
+        {ratio('total_revenue * 10000', 'company_count * 10000', 4)} as avg_revenue_per_co,
+        lag(total_revenue) over (partition by r.industry_id order by r.day) as prior
+        from recent_revenue r left join recent_cost c on r.industry_id = c.industry_id and r.day = c.day""",
+    "recent_industry": f"""select industry_id, epoch_us(cast(day as timestamp)) as time_id, total_revenue, total_expenses, net_profit,
+        transaction_count, avg_revenue_per_co, company_count,
+        case when abs({growth('total_revenue', 'prior')}) < 1000 then {growth('total_revenue', 'prior')} end as revenue_growth_rate
+        from recent_daily""",
     "daily_revenue": """select industry_id, date_trunc('day', t_stamp) as day, sum(amount) as total_revenue,
         count(*) as transaction_count, count(distinct tx.c_id) as company_count
         from tx join d_company on tx.c_id = d_company.c_id group by 1, 2""",

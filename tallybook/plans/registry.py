@@ -27,9 +27,9 @@ from tallybook.plans import promote, reports
 from tallybook.plans.domain import Domain
 from tallybook.plans.oracle import avg_money, growth, ratio, statement, surrogate_sql, uuid5_sql
 from tallybook.session import materialize, scratch_path
-from tallybook.sources import landing
+from tallybook.sources import dimensions, fx_feed, landing
 from tallybook.sources.tables import TableStore
-from tallybook.streaming import batches, ticks
+from tallybook.streaming import batches, metrics, ticks
 
 _SPARK_TYPES = {"l": "bigint", "s": "string", "d": "double", "t": "timestamp_ntz", "b": "boolean"}
 
@@ -53,6 +53,7 @@ class Query:
 NOW = datetime(2024, 1, 31, 1, 0)
 MIDWAY = datetime(2024, 1, 16)
 SPLIT = datetime(1998, 1, 1)
+MIDDLE = datetime(1995, 7, 1)
 _SPLIT_US = "epoch_us(timestamp '1998-01-01')"
 QUERIES: dict[str, Query] = {}
 
@@ -243,15 +244,15 @@ _add(
 _add(
     "quarantine_log_page",
     lambda d: quarantine.rows_page(
-        quarantine.quarantine_log(d.quarantine_events, d.raw_bad, d.companies, d.currencies).where("tx_timestamp is not null"),
+        quarantine.quarantine_log(d.quarantine_events, d.raw_bad, d.companies, d.currencies),
         d.companies, page=2, page_size=50, source="sql_layer", failure_code="UNKNOWN_COMPANY",
         order=("tx_id", "amount", "c_id"),
     ),
     "tx_id:l c_id:l c_name:s amount:d failure_code:s ingestion_timestamp:t source:s total:l",
     """select q.tx_id, q.c_id, c.c_name, q.amount, q.failure_code, q.ingestion_timestamp, q.source, q.total
        from (select *, count(*) over () as total from q_log
-             where source = 'sql_layer' and failure_code = 'UNKNOWN_COMPANY' and tx_timestamp is not null
-             order by ingestion_timestamp desc, tx_id, amount, c_id limit 50 offset 50) q
+             where source = 'sql_layer' and failure_code = 'UNKNOWN_COMPANY'
+             order by ingestion_timestamp desc, tx_id nulls first, amount nulls first, c_id nulls first limit 50 offset 50) q
        left join d_company c on c.c_id = q.c_id""",
 )
 _add(
@@ -428,32 +429,38 @@ def _time_sql(source: str) -> str:
 _add(
     "promote_time",
     lambda d: star.promote_time(
-        d.ledger.unionByName(d.intraday), d.expenses, star.promote_time(d.ledger.where(F.col("tx_timestamp") < F.lit(SPLIT)), d.expenses.limit(0))
+        d.ledger.unionByName(d.intraday), d.expenses,
+        star.promote_time(d.ledger.where(F.col("tx_timestamp") < F.lit(SPLIT)), d.expenses.where(F.col("expense_timestamp") < F.lit(MIDDLE))),
     ),
     _TIME,
     _time_sql(
         """(select tx_timestamp as ts from ledger union select tx_timestamp from intraday union select expense_timestamp from expense)
-           except select tx_timestamp from ledger where tx_timestamp < timestamp '1998-01-01'"""
+           except (select tx_timestamp from ledger where tx_timestamp < timestamp '1998-01-01'
+                   union select expense_timestamp from expense where expense_timestamp < timestamp '1995-07-01')"""
     ),
 )
 _add(
     "ensure_midnights",
-    lambda d: star.ensure_midnights(star.promote_time(d.intraday, d.expenses)),
+    lambda d: star.ensure_midnights(star.promote_time(d.ledger.unionByName(d.intraday), d.expenses)),
     _TIME,
     _time_sql(
-        """select cast(date_trunc('day', tx_timestamp) as timestamp) as ts from intraday
-           except (select tx_timestamp from intraday union select expense_timestamp from expense)"""
+        """select cast(date_trunc('day', ts) as timestamp) as ts from (select tx_timestamp as ts from ledger
+             union select tx_timestamp from intraday union select expense_timestamp from expense) a
+           except (select tx_timestamp from ledger union select tx_timestamp from intraday union select expense_timestamp from expense)"""
     ),
 )
 _add(
     "dedupe_time",
     lambda d: star.drop_duplicate_times(
-        star.promote_time(d.intraday, d.expenses).unionByName(
-            star.promote_time(d.intraday, d.expenses).withColumn("time_id", F.col("time_id") + 1)
+        star.promote_time(d.ledger.unionByName(d.intraday), d.expenses).unionByName(
+            star.promote_time(d.ledger.unionByName(d.intraday), d.expenses).withColumn("time_id", F.col("time_id") + 1)
         )
     ),
     _TIME,
-    _time_sql("select tx_timestamp as ts from intraday union select expense_timestamp from expense"),
+    _time_sql(
+        """select tx_timestamp as ts from ledger union select tx_timestamp from intraday
+           union select expense_timestamp from expense"""
+    ),
 )
 _FACT = "tx_id:l amount:d c_id:l time_id:l cncy:s"
 _add(
@@ -467,14 +474,10 @@ _add(
 
 
 def _windowed(d: Domain) -> DataFrame:
-    parts = [
-        star.promote_transactions(d.ledger, start=start, end=end)
-        for start, end in star.transaction_windows(d.ledger, batch_days=400)
-    ]
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole
+    """Windows of 60 days, each committed to the store, over one scan."""
+    store = _store(d)
+    promote.promote_windows(store, d.ledger)
+    return store.read("analytics.f_transaction")
 
 
 _add("promote_transactions_windowed", _windowed, _FACT, "select * from tx")
@@ -905,6 +908,7 @@ _add(
 
 # --- machine learning on quarantine records --------------------------------
 
+# What the region and nation tables hold; the names of the matrix's columns must be known here.
 _REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 _NATIONS = sorted(f"NATION_{i}" for i in range(25))
 _FEATURES = [
@@ -919,7 +923,8 @@ def _feature_rows(d: Domain) -> DataFrame:
 
 def _matrix(d: Domain) -> DataFrame:
     derived = features.derive(_feature_rows(d))
-    return features.fit(derived, _REGIONS, _NATIONS).transform(derived)
+    industries, countries = features.categories(d.industries, "name"), features.categories(d.read("nation"), "n_name")
+    return features.fit(derived, industries, countries).transform(derived)
 
 
 _FEATURE_ROWS_SQL = """select q.quarantine_id, q.failure_code, q.failure_count, q.tx_timestamp, q.ingestion_timestamp, q.amount,
@@ -1031,7 +1036,7 @@ def _silhouettes(d: Domain) -> DataFrame:
 _add("ml_silhouette", _silhouettes, "components:s silhouette:d")
 _add(
     "ml_k_selection",
-    lambda d: clustering.choose_k(_projected(d), restarts=2),
+    lambda d: clustering.choose_k(_projected(d)),
     "k:l inertia:d silhouette:d",
 )
 
@@ -1089,16 +1094,23 @@ _add(
 )
 
 
+EARLIER = datetime(2023, 12, 31, 12)
+
+
 def _transformed(d: Domain) -> TableStore:
-    """A store after loading the tables in two halves with a transform after each."""
+    """A store after loading the tables in two halves with a transform after each.
+
+    Half of the expenses was landed on an earlier day, the others come with the first run.
+    """
     store = _store(d)
     companies = d.companies.withColumns({c: F.col(c).cast("string") for c in ("c_id", "industry_id")})
     store.append("analytics.d_company", companies)
+    landing.append_expenses(store, d.recent_expenses.where("expense_id % 2 = 0"), EARLIER)
     early = F.col("tx_timestamp") < F.lit(MIDWAY)
-    for part in (early, ~early):
+    for part, costs in ((early, d.recent_expenses.where("expense_id % 2 = 1")), (~early, None)):
         landing.append_fx_rates(store, d.fx_ticks.withColumn("tx_timestamp", F.col("fx_timestamp")).where(part), NOW)
         landing.append_transactions(store, d.intraday.where(part), None, NOW)
-        promote.run_transform(store, d.expenses.limit(0))
+        promote.run_transform(store, costs)
     return store
 
 
@@ -1108,17 +1120,45 @@ _add(
     _FACT,
     "select tx_id, amount, c_id, epoch_us(t_stamp) as time_id, cncy from itx",
 )
+_add(
+    "run_transform_conversions",
+    lambda d: _transformed(d).read("analytics.f_conversion"),
+    "base_amount:d fee_amount:d fx_id:s tx_id:l",
+    "select base_amount, fee_amount, fx_id, tx_id from cx",
+)
+_add(
+    "run_transform_expenses",
+    lambda d: _transformed(d).read("analytics.f_expense"),
+    "expense_id:l amount:d cncy:s c_id:l time_id:l category_id:l",
+    "select * from rex",
+)
+_add(
+    "run_transform_industry",
+    lambda d: _transformed(d).read("analytics.f_industry"),
+    _INDUSTRY,
+    "select * from recent_industry",
+)
+_add(
+    "run_transform_times",
+    lambda d: _transformed(d).read("analytics.d_time"),
+    _TIME,
+    _time_sql(
+        """select ts from (select t_stamp as ts from itx union select t_stamp from rex) a
+           union select cast(date_trunc('day', ts) as timestamp) from (select t_stamp as ts from itx union select t_stamp from rex) b"""
+    ),
+)
 
 
-def _transform_conversions(d: Domain) -> DataFrame:
-    return _transformed(d).read("analytics.f_conversion")
+def _waiting(d: Domain) -> DataFrame:
+    """What still waits for a rate."""
+    return _transformed(d).read("state.waiting_conversion")
 
 
 _add(
-    "run_transform_conversions",
-    _transform_conversions,
-    "base_amount:d fee_amount:d fx_id:s tx_id:l",
-    "select base_amount, fee_amount, fx_id, tx_id from cx",
+    "run_transform_waiting",
+    _waiting,
+    "tx_id:l base_cncy:s quote_cncy:s amount:d tx_timestamp:t",
+    "select tx_id, base_cncy, quote_cncy, amount, tx_timestamp from matched where quote_cncy is not null and rate is null",
 )
 
 
@@ -1152,7 +1192,7 @@ def _stream_latest(d: Domain) -> DataFrame:
     path = scratch_path(d.spark, "latest")
     stream = _streamed(d, d.fx_ticks, "ticks")
     ticks.keep_latest_rates(stream, path, scratch_path(d.spark, "checkpoint")).awaitTermination()
-    return d.spark.read.parquet(path)
+    return ticks.read_latest_rates(d.spark, path)
 
 
 _add("stream_latest_rates", _stream_latest, _RATE, "select * from latest")
@@ -1182,14 +1222,18 @@ _add(
 )
 
 
-def _stream_transform(d: Domain) -> DataFrame:
+def _stream_transform(d: Domain) -> TableStore:
     store = _store(d)
     companies = d.companies.withColumns({c: F.col(c).cast("string") for c in ("c_id", "industry_id")})
     store.append("analytics.d_company", companies)
+    checkpoint = scratch_path(d.spark, "checkpoint")
+    landing.append_expenses(store, d.recent_expenses, EARLIER)
     landing.append_fx_rates(store, d.fx_ticks, NOW)
-    landing.append_transactions(store, d.intraday, None, NOW)
-    batches.stream_transform(store, scratch_path(d.spark, "checkpoint")).awaitTermination()
-    return store.read("analytics.f_industry")
+    for part in ("tx_id % 2 = 0", "tx_id % 2 = 1"):
+        # The second half is late: its days have their aggregate, which stays.
+        landing.append_transactions(store, d.intraday.where(part), None, NOW)
+        batches.stream_transform(store, checkpoint).awaitTermination()
+    return store
 
 
 def _requeue_store(d: Domain) -> TableStore:
@@ -1227,9 +1271,320 @@ _add(
 
 _add(
     "stream_transform",
-    _stream_transform,
-    "industry_id:l time_id:l total_revenue:d transaction_count:l company_count:l",
-    """select industry_id, epoch_us(cast(date_trunc('day', t_stamp) as timestamp)) as time_id, sum(amount) as total_revenue,
-       count(*) as transaction_count, count(distinct itx.c_id) as company_count
-       from itx join d_company c on c.c_id = itx.c_id group by 1, 2""",
+    lambda d: _stream_transform(d).read("analytics.f_industry"),
+    _INDUSTRY,
+    f"""with r as (select industry_id, date_trunc('day', t_stamp) as day, sum(amount) as total_revenue, count(*) as transaction_count,
+          count(distinct itx.c_id) as company_count from itx join d_company on itx.c_id = d_company.c_id where tx_id % 2 = 0 group by 1, 2),
+        late as (select industry_id, date_trunc('day', t_stamp) as day, sum(amount) as total_revenue, count(*) as transaction_count,
+          count(distinct itx.c_id) as company_count from itx join d_company on itx.c_id = d_company.c_id
+          where date_trunc('day', t_stamp) not in (select day from r) group by 1, 2),
+        a as (select r.*, coalesce(total_expenses, 0) as total_expenses from (select * from r union all select * from late) r
+          left join recent_cost c on r.industry_id = c.industry_id and r.day = c.day),
+        b as (select *, lag(total_revenue) over (partition by industry_id order by day) as prior from a)
+        select industry_id, epoch_us(cast(day as timestamp)) as time_id, total_revenue, total_expenses,
+          total_revenue - total_expenses as net_profit, transaction_count,
+          {ratio('total_revenue * 10000', 'company_count * 10000', 4)} as avg_revenue_per_co,
+          case when abs({growth('total_revenue', 'prior')}) < 1000 then {growth('total_revenue', 'prior')} end as revenue_growth_rate,
+          company_count from b""",
+)
+_add(
+    "stream_transform_conversions",
+    lambda d: _stream_transform(d).read("analytics.f_conversion"),
+    "base_amount:d fee_amount:d fx_id:s tx_id:l",
+    "select base_amount, fee_amount, fx_id, tx_id from cx",
 )
+
+
+# --- polls, metrics, batches, registration -----------------------------------
+
+
+def _stream_polls(d: Domain) -> DataFrame:
+    """Two files: the first with parts of some polls, the second with the rest, replays and late polls."""
+    store, path, checkpoint = _store(d), scratch_path(d.spark, "polls"), scratch_path(d.spark, "checkpoint")
+    polls = materialize(d.polls.withColumn("hour_no", F.floor(F.unix_timestamp("polled_at") / 3600)), "polls")
+    early, part, whole = F.col("polled_at") < F.lit(MIDWAY), F.col("hour_no") % 5 == 0, F.col("hour_no") % 11 != 0
+    first = early & whole & (~part | (F.col("base_cncy") < "G"))
+    second = ~early | ~whole | (part & (F.col("base_cncy") >= "G")) | (F.col("hour_no") % 7 == 0)
+    bounds = {code: (0.0, 4.0) for code in refdata.RATE_BOUNDS}
+    for rows in (first, second):
+        polls.where(rows).drop("hour_no").write.mode("append").parquet(path)
+        stream = d.spark.readStream.schema(d.polls.schema).parquet(path)
+        ticks.stream_polls(stream, store, checkpoint, 60 * 86_400, bounds).awaitTermination()
+    return store.read("raw.fx_rate")
+
+
+_add(
+    "stream_polls",
+    _stream_polls,
+    "base_cncy:s quote_cncy:s fx_timestamp:t rate:d",
+    f"""with p as (select polled_at, any_value(hour_no) as h, min(base_cncy) as low, max(base_cncy) as high,
+          bool_and(base_cncy not in ({', '.join(f"'{c}'" for c in refdata.RATE_BOUNDS)}) or rate between 0 and 4) as sound from poll group by polled_at),
+        m as (select max(polled_at) as mark from p
+              where polled_at < timestamp '2024-01-16' and h % 11 <> 0 and (h % 5 <> 0 or high < 'G') and sound)
+        select base_cncy, quote_cncy, polled_at as fx_timestamp, rate from poll join p using (polled_at), m
+        where sound and (polled_at >= timestamp '2024-01-16' or (h % 11 <> 0 and (h % 5 <> 0 or low < 'G')) or mark is null or polled_at > mark)""",
+)
+
+
+def _ingest_metrics(d: Domain) -> DataFrame:
+    """Stored metrics of a tick stream: rows read and failures."""
+    path, store = scratch_path(d.spark, "metrics"), _store(d)
+    log = metrics.IngestMetrics(d.spark, path)
+    d.spark.streams.addListener(log)
+    try:
+        query = ticks.stream_fx_ticks(_streamed(d, d.fx_ticks, "ticks"), store, scratch_path(d.spark, "checkpoint"), bounds={})
+        query.awaitTermination()
+        log.wait_for(query.runId)
+    finally:
+        d.spark.streams.removeListener(log)
+    own = metrics.read_metrics(d.spark, path).where(F.col("run_id") == str(query.runId))
+    return metrics.ingest_summary(own).agg(F.sum("input_rows").alias("input_rows"), F.sum("failed").alias("failed"))
+
+
+_add("ingest_metrics", _ingest_metrics, "input_rows:l failed:l", "select count(*) as input_rows, 0 as failed from fx_rate")
+
+
+def _batch(d: Domain) -> TableStore:
+    """One whole batch: normalized feed, quarantine, ticks of the window, logs and transform."""
+    store = _store(d)
+    store.append("analytics.d_company", d.companies.withColumns({c: F.col(c).cast("string") for c in ("c_id", "industry_id")}))
+    feed = d.dirty_feed.withColumnsRenamed({"tx_timestamp": "when_paid", "amount": "sum_paid", "c_id": "client_id"})
+    promote.run_batch(
+        store, feed, d.fx_ticks, "batch", datetime(2024, 1, 5), MIDWAY, "high", d.recent_expenses,
+        mapping={"when_paid": "tx_timestamp", "sum_paid": "amount"}, fx_source="synthetic",
+        names=normalize.company_names(d.companies), valid_id=parsing.integer_text,
+    )
+    return store
+
+
+def _batch_logs(d: Domain) -> DataFrame:
+    store = _batch(d)
+    run = store.read("raw.pipeline_run").select("batch_id", "n_transactions", "fx_source", "clean_count", "quarantine_count")
+    return store.read("raw.batch_log").join(run, "batch_id")
+
+
+_add(
+    "run_batch_logs",
+    _batch_logs,
+    "batch_id:s run_timestamp:t window_start:t window_end:t rows_received:l rows_loaded:l rows_quarantined:l noise_level:s "
+    "n_transactions:l fx_source:s clean_count:l quarantine_count:l",
+    """select 'batch' as batch_id, timestamp '2024-01-16' as run_timestamp, timestamp '2024-01-05' as window_start,
+       timestamp '2024-01-16' as window_end, a as rows_received, c as rows_loaded, v as rows_quarantined, 'high' as noise_level,
+       a as n_transactions, 'synthetic' as fx_source, c as clean_count, v as quarantine_count
+       from (select count(*) as a from checked), (select count(*) as c from clean), (select count(*) as v from violation)""",
+)
+_add(
+    "normalize_mapped_feed",
+    lambda d: _batch(d).read("raw.transaction_event"),
+    _CLEAN,
+    "select tx_id, c_id, base_cncy, quote_cncy, amount, fee_amount, tx_timestamp from clean",
+)
+
+
+def _load_all(d: Domain) -> DataFrame:
+    """Rows handed in per table, twice, and what is stored after the second time."""
+    store, n = _store(d), d.normalized
+    tables = {"fx_rates": "raw.fx_rate", "transactions": "raw.transaction_event", "expenses": "raw.expense_event", "quarantine": "raw.quarantine_event"}
+    for _ in range(2):
+        counts = landing.load_all(store, d.fx_ticks, n.clean, d.expenses, n.quarantine, "batch", NOW)
+    rows = [(name, counts[name], store.read(table).count()) for name, table in tables.items()]
+    return d.spark.createDataFrame(rows, "table_name string, received bigint, stored bigint")
+
+
+_add(
+    "load_all",
+    _load_all,
+    "table_name:s received:l stored:l",
+    """select 'fx_rates' as table_name, count(*) as received, count(*) as stored from fx_rate
+       union all select 'transactions', count(*), count(*) from clean
+       union all select 'expenses', count(*), count(*) from expense
+       union all select 'quarantine', count(*), count(*) from violation""",
+)
+
+
+def _report_csv(d: Domain) -> DataFrame:
+    path = scratch_path(d.spark, "report")
+    report = reports.company_revenue_by_currency(d.f_transaction, d.companies)
+    landing.write_report_csv(report, path)
+    return d.spark.read.option("header", True).schema(report.schema).csv(path)
+
+
+_add(
+    "write_report_csv",
+    _report_csv,
+    "c_id:l c_name:s cncy:s total_revenue:d",
+    "select * from company_cncy",
+)
+
+
+def _fx_sources(d: Domain) -> DataFrame:
+    live = fx_feed.get_fx_rates("live", d.fx_ticks).withColumn("source", F.lit("live"))
+    window = fx_feed.get_fx_rates("synthetic", d.fx_ticks, datetime(2024, 1, 5), MIDWAY)
+    return live.unionByName(window.withColumn("source", F.lit("synthetic")))
+
+
+_add(
+    "fx_sources",
+    _fx_sources,
+    "source:s base_cncy:s quote_cncy:s fx_timestamp:t rate:d",
+    """select 'live' as source, base_cncy, quote_cncy, fx_timestamp, rate from fx_rate
+       qualify row_number() over (partition by base_cncy, quote_cncy order by fx_timestamp desc, rate desc) = 1
+       union all select 'synthetic', base_cncy, quote_cncy, fx_timestamp, rate from fx_rate
+       where fx_timestamp between timestamp '2024-01-05' and timestamp '2024-01-16'""",
+)
+_USER_RULES = [
+    normalize.Rule("RATIO", "ratio above 5", "10 / (tx_id % 5) > 5"),
+    normalize.Rule("FLAG", "flag is set or absent", "array(0, 1, 0)[tx_id % 4] > 0"),
+]
+_add(
+    "user_rules",
+    lambda d: normalize.split_quarantine(d.intraday, _USER_RULES)[1],
+    "tx_id:l amount:d failure_code:s failure_reason:s",
+    """select tx_id, amount, 'RATIO' as failure_code, 'ratio above 5' as failure_reason from intraday where tx_id % 5 in (0, 1)
+       union all select tx_id, amount, 'FLAG', 'flag is set or absent' from intraday where tx_id % 4 in (1, 3)""",
+)
+_add(
+    "quarantine_unresolved_iso",
+    lambda d: quarantine.unresolved(d.quarantine_events, d.resolutions, d.companies, "INVALID_AMOUNT, NULL_COMPANY_ID ,", iso=True),
+    "quarantine_id:s tx_id:l c_name:s failure_code:s tx_timestamp:s ingestion_timestamp:s",
+    """select q.quarantine_id, q.tx_id, c.c_name, q.failure_code, strftime(q.tx_timestamp, '%Y-%m-%dT%H:%M:%S') as tx_timestamp,
+       strftime(q.ingestion_timestamp, '%Y-%m-%dT%H:%M:%S') as ingestion_timestamp
+       from quarantine_event q left join d_company c on c.c_id = q.c_id
+       where failure_code in ('INVALID_AMOUNT', 'NULL_COMPANY_ID') and quarantine_id not in (select quarantine_id from resolution)""",
+)
+
+
+def _registered(d: Domain) -> DataFrame:
+    """Two batches of requests, one after the other."""
+    store = _store(d)
+    for part in ("c_custkey % 2 = 0", "c_custkey % 2 = 1"):
+        dimensions.register(store, d.company_requests.where(part).drop("c_custkey"))
+    keys = store.read("state.company_key").where("weight is not null")
+    names = store.read("analytics.d_company").select("c_id", F.col("c_name").alias("stored_name"))
+    return keys.join(names, "c_id")
+
+
+_NEW_KEY = "'COMP' || lpad((12 + n)::varchar, greatest(3, length((12 + n)::varchar))::int, '0')"
+_add(
+    "register_companies",
+    _registered,
+    "company_key:s c_id:s c_name:s stored_name:s hq_country:s default_cncy:s industry_id:s weight:d",
+    f"""with ok as (select * from company_request where industry <> 'Mining' and default_cncy <> 'XXX' and weight between 0.01 and 1),
+        k as (select *, row_number() over (order by c_custkey % 2, name, hq_country, default_cncy, industry, weight) as n from ok)
+        select {_NEW_KEY} as company_key, {uuid5_sql(refdata.COMPANY_NAMESPACE, _NEW_KEY)} as c_id, name as c_name, name as stored_name,
+          hq_country, default_cncy, {uuid5_sql(refdata.INDUSTRY_NAMESPACE, 'industry')} as industry_id, weight from k""",
+)
+
+
+def _growth_store(d: Domain) -> DataFrame:
+    store = _store(d)
+    store.append("analytics.f_industry", _partly_filled(d))
+    promote.backfill_growth(store)
+    return store.read("analytics.f_industry")
+
+
+_add("growth_backfill_store", _growth_store, QUERIES["industry_growth_null"].columns, QUERIES["industry_growth_null"].sql)
+
+
+def _stored_kpis(d: Domain) -> DataFrame:
+    """From the maintained aggregate, without the facts."""
+    store = _store(d)
+    store.append("analytics.f_industry", d.f_industry)
+    return reports.kpis(store.read("analytics.f_industry"), d.companies)
+
+
+_add("kpis_stored", _stored_kpis, QUERIES["kpis"].columns, QUERIES["kpis"].sql)
+
+# --- checks of the fitted models ---------------------------------------------
+
+
+def _covariances(d: Domain) -> DataFrame:
+    """Covariances put together again from all components and their variances."""
+    known = _known(d)
+    fitted = clustering.fit_components(known, _FEATURES)
+    total = sum(known.agg(*[F.var_samp(c) for c in _FEATURES]).first())
+    return clustering.covariance_table(d.spark, fitted, total).withColumn("covariance", F.round("covariance", 6) + 0.0)
+
+
+def _covariance_sql() -> str:
+    pairs = [(a, b) for a in _FEATURES for b in _FEATURES if a <= b]
+    sums = ", ".join(f"covar_samp({a}, {b}) as v{i}" for i, (a, b) in enumerate(pairs))
+    rows = ", ".join(f"{{'feature': '{a}', 'other': '{b}', 'covariance': round(v{i}, 6) + 0.0}}" for i, (a, b) in enumerate(pairs))
+    return f"""select r.feature as feature, r.other as other, r.covariance as covariance from (
+        select unnest([{rows}]) as r from (select {sums} from ({_matrix_sql()}) m where company_known = 1) s) t"""
+
+
+_add("ml_covariance_check", _covariances, "feature:s other:s covariance:d", _covariance_sql())
+
+
+def _projection_norms(d: Domain) -> DataFrame:
+    """Squared length of each unseen record's projection on all components: its distance from the centre."""
+    known, unknown = features.split_by_company(materialize(_matrix(d), "matrix"))
+    projected = clustering.fit_components(known, _FEATURES).transform(unknown)
+    parts = F.aggregate(vector_to_array("components"), F.lit(0.0), lambda s, x: s + x * x)
+    return projected.select("quarantine_id", F.round(parts, 6).alias("squared"))
+
+
+def _norms_sql() -> str:
+    terms = " + ".join(f"pow(u.{c} - k.{c}, 2)" for c in _FEATURES)
+    means = ", ".join(f"avg({c}) as {c}" for c in _FEATURES)
+    return f"""with m as ({_matrix_sql()}), k as (select {means} from m where company_known = 1)
+        select quarantine_id, round({terms}, 6) as squared from m u, k where u.company_known = 0"""
+
+
+_add("ml_projection_check", _projection_norms, "quarantine_id:s squared:d", _norms_sql())
+
+
+def _kmeans_checked(d: Domain) -> DataFrame:
+    """For each k: points, clusters, points not with their nearest centre, and error of the inertia."""
+    projected = _projected(d)
+    return clustering.check_fits(projected, clustering.fit_kmeans(projected, range(2, 9)))
+
+
+_add(
+    "ml_kmeans_check",
+    _kmeans_checked,
+    "k:l points:l clusters:l misplaced:l inertia_error:d",
+    f"""select k.range as k, count(*) as points, k.range as clusters, 0 as misplaced, 0.0 as inertia_error
+        from ({_matrix_sql()}) m, range(2, 9) k where company_known = 1 group by k.range""",
+)
+
+
+def _labelled(d: Domain) -> DataFrame:
+    """The matrix with clusters by a rule of its own."""
+    parts = F.col("amount_is_valid") + 2 * F.col("currency_mismatch")
+    return _matrix(d).withColumn("cluster", parts.cast("int"))
+
+
+_add(
+    "ml_crosstab_check",
+    lambda d: clustering.crosstab(_labelled(d), 4),
+    "failure_code:s cluster_0:l cluster_1:l cluster_2:l cluster_3:l total:l share_0:d share_1:d share_2:d share_3:d",
+    f"""select failure_code, {', '.join(f'count(*) filter (where c = {i}) as cluster_{i}' for i in range(4))}, count(*) as total,
+        {', '.join(ratio(f'count(*) filter (where c = {i})', 'count(*)', 3) + f' as share_{i}' for i in range(4))}
+        from (select failure_code, cast(amount_is_valid + 2 * currency_mismatch as int) as c from ({_matrix_sql()}) m) x group by failure_code""",
+)
+
+
+def _silhouette_of_rule(d: Domain) -> DataFrame:
+    rows = features.as_vector(_labelled(d), _FEATURES)
+    value = clustering.silhouette(materialize(rows, "labelled"))
+    return d.spark.createDataFrame([(round(value, 6),)], "silhouette double")
+
+
+def _silhouette_sql() -> str:
+    """Mean squared distances to clusters from their sums: |x|^2 + mean |y|^2 - 2 x mean y."""
+    norm = " + ".join(f"{c} * {c}" for c in _FEATURES)
+    sums = ", ".join(f"avg({c}) as {c}" for c in _FEATURES)
+    dot = " + ".join(f"p.{c} * q.{c}" for c in _FEATURES)
+    return f"""with p as (select *, cast(amount_is_valid + 2 * currency_mismatch as int) as c, {norm} as norm,
+          row_number() over () as row from ({_matrix_sql()}) m),
+        q as (select c, count(*) as n, avg(norm) as mean_norm, {sums} from p group by c),
+        d as (select p.row, p.c = q.c as own, q.n, p.norm + q.mean_norm - 2 * ({dot}) as far from p, q),
+        s as (select row, max(n) filter (where own) as n, max(far) filter (where own) as a, min(far) filter (where not own) as b from d group by row)
+        select round(avg(case when n = 1 then 0 else
+          case when a * n / (n - 1) < b then 1 - a * n / (n - 1) / b when a * n / (n - 1) > b then b / (a * n / (n - 1)) - 1 else 0 end end), 6) as silhouette
+        from s"""
+
+
+_add("ml_silhouette_check", _silhouette_of_rule, "silhouette:d", _silhouette_sql())

@@ -239,9 +239,10 @@ def kpis(industry_days: DataFrame, companies: DataFrame) -> DataFrame:
 def latest_rates(ticks: DataFrame, as_of: datetime | None = None) -> DataFrame:
     """Newest tick per pair, optionally none after `as_of`."""
     rows = ticks if as_of is None else ticks.where(F.col("fx_timestamp") <= F.lit(as_of))
-    newest = F.max(F.struct("fx_timestamp", "rate")).alias("t")
+    newest = timekeys.newest_rate(F.col("fx_timestamp"), F.col("rate")).alias("t")
+    at, rate = timekeys.newest_parts("t")
     return rows.groupBy("base_cncy", "quote_cncy").agg(newest).select(
-        "base_cncy", "quote_cncy", F.round("t.rate", 6).alias("rate"), "t.fx_timestamp"
+        "base_cncy", "quote_cncy", F.round(rate, 6).alias("rate"), at.alias("fx_timestamp")
     )
 
 

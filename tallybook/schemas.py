@@ -17,8 +17,14 @@ class TableSpec:
     ddl: str
     key: tuple[str, ...]
     required: tuple[str, ...] = ()
-    # Column whose calendar day partitions the files, if any.
+    # Column whose calendar day partitions the files, if any. It need not be stored itself.
     day_of: str | None = None
+    # Calendar period of a partition, where a day would hold too few rows.
+    period: str = "day"
+    # Column whose values partition the files, if any.
+    value_of: str | None = None
+    # Columns of the key index beside the table, if it has one.
+    indexed: tuple[str, ...] = ()
     # Columns files are sorted by inside a partition, so row-group statistics prune.
     sort: tuple[str, ...] = field(default_factory=tuple)
 
@@ -46,6 +52,7 @@ TABLES: dict[str, TableSpec] = {
         ),
         day_of="ingestion_timestamp",
         sort=("tx_timestamp",),
+        indexed=("tx_id",),
     ),
     "raw.expense_event": TableSpec(
         "expense_id string, c_id string, cncy string, expense_timestamp timestamp, "
@@ -54,6 +61,7 @@ TABLES: dict[str, TableSpec] = {
         required=("expense_id", "c_id", "cncy", "expense_timestamp", "amount", "category_id"),
         day_of="ingestion_timestamp",
         sort=("expense_timestamp",),
+        indexed=("expense_id",),
     ),
     "raw.quarantine_event": TableSpec(
         "quarantine_id string, tx_id string, c_id string, base_cncy string, quote_cncy string, "
@@ -63,6 +71,7 @@ TABLES: dict[str, TableSpec] = {
         key=("quarantine_id",),
         required=("failure_code", "failure_reason"),
         day_of="ingestion_timestamp",
+        indexed=("batch_id", "tx_id", "failure_code"),
     ),
     "raw.quarantine_resolution": TableSpec(
         "resolution_id string, quarantine_id string, action string, new_c_id string, "
@@ -100,7 +109,10 @@ TABLES: dict[str, TableSpec] = {
         sort=("time_id",),
     ),
     "analytics.f_fx_rate": TableSpec(
-        "fx_id string, rate decimal(14,7), base_cncy string, quote_cncy string", key=("fx_id",)
+        "fx_id string, rate decimal(14,7), base_cncy string, quote_cncy string",
+        key=("fx_id",),
+        value_of="base_cncy",
+        sort=("quote_cncy", "rate"),
     ),
     "analytics.f_transaction": TableSpec(
         "tx_id string, amount decimal(18,4), c_id string, time_id bigint, cncy string",
@@ -112,6 +124,8 @@ TABLES: dict[str, TableSpec] = {
         "cx_id string, base_amount decimal(18,4), fee_amount decimal(16,4), fx_id string, "
         "tx_id string",
         key=("tx_id",),
+        # The transaction's time, which appended rows carry.
+        day_of="tx_timestamp",
     ),
     "analytics.f_expense": TableSpec(
         "expense_id string, amount decimal(18,4), cncy string, c_id string, time_id bigint, "
@@ -125,5 +139,28 @@ TABLES: dict[str, TableSpec] = {
         "total_expenses decimal(18,4), net_profit decimal(18,4), transaction_count bigint, "
         "avg_revenue_per_co decimal(18,4), revenue_growth_rate decimal(7,4), company_count int",
         key=("industry_id", "time_id"),
+        day_of="time_id",
+        period="month",
+    ),
+    # All company keys ever given.
+    "state.company_key": TableSpec(
+        "company_key string, c_id string, c_name string, hq_country string, default_cncy string, industry_id string, weight double",
+        key=("company_key",),
+    ),
+    # Per source of polls: the time of its last accepted poll, and the polls not yet whole.
+    "state.poll_mark": TableSpec("source string, mark timestamp", key=("source",)),
+    "state.poll_pending": TableSpec(
+        "source string, poll_id string, polled_at timestamp, n_quotes int, base_cncy string, quote_cncy string, rate decimal(14,7)",
+        key=("source", "poll_id", "base_cncy", "quote_cncy"),
+    ),
+    # Carried from one transform to the next.
+    "state.waiting_conversion": TableSpec(
+        "tx_id string, base_cncy string, quote_cncy string, amount decimal(18,4), fee_amount decimal(16,4), tx_timestamp timestamp",
+        key=("tx_id",),
+    ),
+    # The last tick of each pair and day.
+    "state.fx_close": TableSpec(
+        "base_cncy string, quote_cncy string, fx_timestamp timestamp, rate decimal(14,7)",
+        key=("base_cncy", "quote_cncy", "fx_timestamp"),
     ),
 }

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybook import refdata
+from tallybook.functions import timekeys
 
 COLUMNS = ["fx_timestamp", "base_cncy", "quote_cncy", "rate"]
 
@@ -23,7 +24,8 @@ def get_fx_rates(
         if start is None or end is None:
             raise ValueError("start and end are required for the synthetic source")
         return ticks.where(F.col("fx_timestamp").between(F.lit(start), F.lit(end))).select(*COLUMNS)
-    newest = F.max(F.struct("fx_timestamp", "rate")).alias("t")
+    newest = timekeys.newest_rate(F.col("fx_timestamp"), F.col("rate")).alias("t")
+    at, rate = timekeys.newest_parts("t")
     return ticks.groupBy("base_cncy", "quote_cncy").agg(newest).select(
-        "t.fx_timestamp", "base_cncy", "quote_cncy", "t.rate"
+        at.alias("fx_timestamp"), "base_cncy", "quote_cncy", rate.alias("rate")
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,8 +13,8 @@ from tallybook import refdata
 from tallybook.functions import ids
 from tallybook.operators import joins, quarantine
 from tallybook.schemas import TABLES
-from tallybook.session import RowCounter
-from tallybook.sources.tables import TableStore
+from tallybook.session import RowCounter, materialize
+from tallybook.sources.tables import TableStore, period_of
 
 logger = logging.getLogger(__name__)
 
@@ -31,27 +31,43 @@ def _now() -> datetime:
     return datetime.now(timezone.utc)
 
 
-def append_new(
-    store: TableStore, name: str, rows: DataFrame, prefer: list[str] | None = None,
-    keys: list[str] | None = None, null_safe: bool = False,
-) -> Loaded:
+def append_new(store: TableStore, name: str, rows: DataFrame, prefer: list[str] | None = None) -> Loaded:
     """Append the rows whose key is new, one per key. Running it again adds nothing.
 
-    If the table is partitioned by the day of a key column, only the days of the batch are
-    searched for stored keys.
+    The batch is evaluated once, into the scratch folder. Stored keys are then looked up where
+    the batch's keys can be: in the day partitions of the batch if the table is partitioned by
+    the day of a key column, else in the buckets of its key index. Keys with nulls are equal to
+    keys with the same nulls.
     """
     spec = TABLES[name]
-    keys = list(spec.key) if keys is None else keys
-    added = RowCounter()
-    received = store.conform(name, rows)
-    once = joins.dedupe(received, keys, prefer).select(*received.columns)
-    days: dict = {}
-    if spec.day_of in keys:
-        first, last = rows.agg(F.to_date(F.min(spec.day_of)), F.to_date(F.max(spec.day_of))).first()
-        days = {"since": first, "until": last}
-    stored = joins.restrict(store.read(name, **days), received, keys, null_safe)
-    store.append(name, added.watch(joins.not_in(once, stored, keys, null_safe)))
-    return Loaded(received.count(), added.rows)
+    keys = list(spec.indexed or spec.key)
+    received, added = RowCounter(), RowCounter()
+    conformed = store.conform(name, rows)
+    once = joins.dedupe(received.watch(conformed), keys, prefer).select(*conformed.columns)
+    staged = materialize(once, "batch")
+    if spec.indexed:
+        buckets = store.buckets_of(name, staged)
+        stored = store.known_keys(name, buckets)
+    elif spec.day_of in keys:
+        stored = store.read(name, days=_days(name, staged))
+    else:
+        stored = store.read(name)
+    stored = joins.restrict(stored, staged, keys, null_safe=True)
+    new = joins.not_in(staged, stored, keys, null_safe=True)
+    if spec.indexed:
+        # Read twice, by the table and its index.
+        new = materialize(added.watch(new), "new")
+        if added.rows:
+            store.append_indexed(name, new, _days(name, new))
+    else:
+        store.append(name, added.watch(new))
+    return Loaded(received.rows, added.rows)
+
+
+def _days(name: str, rows: DataFrame) -> set[date]:
+    """Partitions that rows belong to: one value for each calendar day."""
+    days = rows.select(period_of(name, rows).alias("day")).distinct()
+    return {r.day for r in days.collect() if r.day is not None}
 
 
 def append_fx_rates(store: TableStore, ticks: DataFrame, ingested_at: datetime | None = None) -> Loaded:
@@ -88,10 +104,7 @@ def append_quarantine(
     records = quarantine.quarantine_records(
         violating, F.lit(batch_id).cast("string"), F.lit(ingested_at or _now())
     )
-    return append_new(
-        store, "raw.quarantine_event", records, prefer=["quarantine_id"],
-        keys=["batch_id", "tx_id", "failure_code"], null_safe=True,
-    )
+    return append_new(store, "raw.quarantine_event", records, prefer=["quarantine_id"])
 
 
 def load_all(

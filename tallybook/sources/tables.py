@@ -2,19 +2,30 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterable
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallybook.functions import timekeys
 from tallybook.operators.normalize import nan_to_null
 from tallybook.schemas import TABLES, TableSpec
-from tallybook.session import configure, materialize
+from tallybook.session import configure, materialize, scratch_path
+from tallybook.sources import versions
 
 _DAY = "p_day"
+_VALUE = "p_value"
+_BUCKET = "p_bucket"
+#: Buckets of a key index, each of them sorted by hash.
+KEY_BUCKETS = 64
+#: Up to this number of partitions is looked up by name, without listing the others.
+LISTED_PERIODS = 400
+#: A stream takes files that become visible within this time of being written.
+FILE_AGE = "30d"
 
 
 class TableStore:
@@ -34,87 +45,236 @@ class TableStore:
         name: str,
         since: date | None = None,
         until: date | None = None,
-        days: set[date] | None = None,
+        days: Iterable[date] | None = None,
+        values: Iterable[str] | None = None,
     ) -> DataFrame:
-        """The table, or an empty one if nothing was written yet.
+        """The current version of the table, or an empty one if nothing was written yet.
 
-        `since` and `until` (inclusive) and `days` prune the day partitions of tables that
-        have them.
+        `since` and `until` (inclusive), `days` and `values` prune the partitions of tables that
+        have them; a longer period is read whole.
         """
-        df = self._with_day(name)
-        if _DAY not in df.columns:
-            return df
-        if since is not None:
-            df = df.where(F.col(_DAY) >= F.lit(since))
-        if until is not None:
-            df = df.where(F.col(_DAY) <= F.lit(until))
-        if days is not None:
-            df = df.where(F.col(_DAY).isin(sorted(days)))
-        return df.drop(_DAY)
+        spec = TABLES[name]
+        periods = None if days is None else {_first_of(spec, d) for d in days}
+        df = self._with_parts(name, periods)
+        if spec.day_of:
+            if since is not None:
+                df = df.where(F.col(_DAY) >= F.lit(_first_of(spec, since)))
+            if until is not None:
+                df = df.where(F.col(_DAY) <= F.lit(_first_of(spec, until)))
+            if periods is not None:
+                df = df.where(F.col(_DAY).isin(sorted(periods)))
+            df = df.drop(_DAY)
+        if spec.value_of:
+            if values is not None:
+                df = df.where(F.col(_VALUE).isin(sorted(values)))
+            df = df.drop(_VALUE)
+        return df
 
     def days(self, name: str) -> set[date]:
-        """The calendar days a table has partitions for; reads no column."""
-        return {r[0] for r in self._with_day(name).select(_DAY).distinct().collect()}
+        """The first days of the periods a table has partitions for; reads no column."""
+        return {r[0] for r in self._with_parts(name).select(_DAY).distinct().collect()}
 
-    def _with_day(self, name: str) -> DataFrame:
-        spec, path = TABLES[name], self.path(name)
-        schema = T.StructType(list(spec.schema))
-        if spec.day_of:
-            schema = schema.add(_DAY, T.DateType())
+    def _parts(self, name: str) -> list[tuple[str, T.DataType]]:
+        spec = TABLES[name]
+        return [(_DAY, T.DateType())] * bool(spec.day_of) + [(_VALUE, T.StringType())] * bool(spec.value_of)
+
+    def _with_parts(self, name: str, periods: set[date] | None = None) -> DataFrame:
+        """The table with its partition columns. Of few periods only the folders are listed."""
+        schema = T.StructType(list(TABLES[name].schema))
+        for part, kind in self._parts(name):
+            schema = schema.add(part, kind)
+        path = versions.current(self.spark, self.path(name))
+        if periods is None or len(periods) > LISTED_PERIODS or not TABLES[name].day_of:
+            return self._parquet(path, schema)
+        stored = set(versions.names(self.spark, path))
+        folders = [f"{_DAY}={p.isoformat()}" for p in sorted(periods) if f"{_DAY}={p.isoformat()}" in stored]
+        return self._parquet(path, schema, folders)
+
+    def _parquet(self, path: str, schema: T.StructType, folders: list[str] | None = None) -> DataFrame:
+        if folders is not None and not folders:
+            return self.spark.createDataFrame([], schema)
+        paths = [path] if folders is None else [f"{path}/{f}" for f in folders]
         try:
-            df = self.spark.read.schema(schema).parquet(path)
+            return self.spark.read.schema(schema).option("basePath", path).parquet(*paths)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], schema)
-        return df
+
+    def _columns(self, name: str, df: DataFrame) -> list[Column]:
+        spec = TABLES[name]
+        missing = [c for c in spec.required if c not in df.columns]
+        if missing:
+            raise ValueError(f"rows for {name} are missing required columns: {missing}")
+        return [
+            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in spec.schema
+        ]
 
     def conform(self, name: str, df: DataFrame) -> DataFrame:
         """Columns, order and types of the table; NaN becomes NULL.
 
         Raises if a required column is absent. Other absent columns are NULL.
         """
-        spec = TABLES[name]
-        missing = [c for c in spec.required if c not in df.columns]
-        if missing:
-            raise ValueError(f"rows for {name} are missing required columns: {missing}")
-        df = nan_to_null(df)
-        return df.select(
-            *[
-                (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-                for f in spec.schema
-            ]
-        )
+        columns = self._columns(name, df)
+        return nan_to_null(df).select(*columns)
 
-    def append(self, name: str, df: DataFrame) -> None:
-        """Add rows. Files are rebalanced by day, so a large day is split over several
-        files and small days do not leave one file per task."""
-        spec = TABLES[name]
-        rows = self.conform(name, df)
+    def _parted(self, name: str, df: DataFrame) -> DataFrame:
+        """The table's columns and its partition columns, from rows that may have more."""
+        spec, columns = TABLES[name], self._columns(name, df)
         if spec.day_of:
-            rows = rows.withColumn(_DAY, _day(spec)).hint("rebalance", F.col(_DAY))
-            rows.sortWithinPartitions(_DAY, *spec.sort).write.mode("append").partitionBy(_DAY).parquet(
-                self.path(name)
-            )
+            if spec.day_of not in df.columns:
+                raise ValueError(f"rows for {name} need {spec.day_of}")
+            columns.append(period_of(name, df).alias(_DAY))
+        if spec.value_of:
+            columns.append(F.col(spec.value_of).cast("string").alias(_VALUE))
+        return nan_to_null(df).select(*columns)
+
+    def append(self, name: str, df: DataFrame) -> None:
+        """Add rows. Files are rebalanced by partition, so a large one is split over several
+        files and small ones do not leave one file per task."""
+        spec, parts = TABLES[name], [p for p, _ in self._parts(name)]
+        rows, path = self._parted(name, df), versions.current(self.spark, self.path(name))
+        if parts:
+            rows = rows.hint("rebalance", *[F.col(p) for p in parts])
+            rows.sortWithinPartitions(*parts, *spec.sort).write.mode("append").partitionBy(*parts).parquet(path)
         else:
-            rows.hint("rebalance").write.mode("append").parquet(self.path(name))
+            rows.hint("rebalance").write.mode("append").parquet(path)
 
     def replace(self, name: str, df: DataFrame) -> None:
-        """Rewrite an analytics table, possibly from itself. Refused for raw tables."""
+        """Publish a new version of a table, possibly computed from itself. Refused for raw tables."""
+        if name.startswith("raw."):
+            raise PermissionError(f"Raw tables are append-only: {name}")
+        versions.publish(self._parted(name, df), self.path(name), tuple(p for p, _ in self._parts(name)))
+
+    def merge(self, name: str, df: DataFrame) -> set[date]:
+        """Put the rows of `df` in the place of the stored ones with their key.
+
+        Only partitions that hold such rows are read and rewritten; the files of all others stay
+        as they are. The rows are staged first, as they may be computed from the table. Returns
+        the first days of the periods rewritten. Readers may see some of them before others.
+        """
         if name.startswith("raw."):
             raise PermissionError(f"Raw tables are append-only: {name}")
         spec = TABLES[name]
-        # Staged first: the new rows may be computed from the files being replaced.
-        staged = materialize(self.conform(name, df), "replace")
-        writer = staged.withColumn(_DAY, _day(spec)) if spec.day_of else staged
-        out = writer.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        (out.partitionBy(_DAY) if spec.day_of else out).parquet(self.path(name))
+        changed = materialize(self._parted(name, df), "merge")
+        periods = {r[0] for r in changed.select(_DAY).distinct().collect()}
+        if periods:
+            stored = self._with_parts(name).where(F.col(_DAY).isin(sorted(periods)))
+            keys = changed.select(*[F.col(k).alias(f"__{k}") for k in spec.key])
+            match = [stored[k].eqNullSafe(keys[f"__{k}"]) for k in spec.key]
+            kept = stored.join(keys, match, "left_anti")
+            merged = materialize(kept.unionByName(changed), "merged").hint("rebalance", F.col(_DAY))
+            path = versions.current(self.spark, self.path(name))
+            writer = merged.sortWithinPartitions(_DAY, *spec.sort).write.mode("overwrite")
+            writer.option("partitionOverwriteMode", "dynamic").partitionBy(_DAY).parquet(path)
+        return periods
 
     def is_empty(self, name: str) -> bool:
         return self.read(name).isEmpty()
 
+    # --- key index ---------------------------------------------------------
+
+    def _key_path(self, name: str) -> str:
+        return f"{self.root}/keys/{name.replace('.', '/')}"
+
+    def bucketed(self, name: str, df: DataFrame) -> DataFrame:
+        """The index columns of rows: key, hash and bucket."""
+        keys = TABLES[name].indexed
+        hashed = F.xxhash64(*keys)
+        return df.select(*keys, hashed.alias("key_hash"), F.pmod(hashed, F.lit(KEY_BUCKETS)).cast("int").alias(_BUCKET))
+
+    def buckets_of(self, name: str, df: DataFrame) -> list[int]:
+        """Buckets of the index that the keys of `df` fall in."""
+        return sorted(r[0] for r in self.bucketed(name, df).select(_BUCKET).distinct().collect())
+
+    def known_keys(self, name: str, buckets: list[int]) -> DataFrame:
+        """Stored keys of an indexed table, from these buckets only."""
+        self._repair_keys(name)
+        return self._index(name).where(F.col(_BUCKET).isin(buckets)).select(*TABLES[name].indexed)
+
+    def _index(self, name: str) -> DataFrame:
+        keys = [f for f in TABLES[name].schema if f.name in TABLES[name].indexed]
+        schema = T.StructType(keys).add("key_hash", T.LongType()).add(_BUCKET, T.IntegerType())
+        return self._parquet(versions.current(self.spark, self._key_path(name)), schema)
+
+    def _add_keys(self, name: str, rows: DataFrame) -> None:
+        path = versions.current(self.spark, self._key_path(name))
+        index = self.bucketed(name, rows).hint("rebalance", F.col(_BUCKET))
+        index.sortWithinPartitions(_BUCKET, "key_hash").write.mode("append").partitionBy(_BUCKET).parquet(path)
+
+    def append_indexed(self, name: str, rows: DataFrame, days: Iterable[date]) -> None:
+        """Append rows and their keys. `days` are the partitions that the rows go to.
+
+        A note of the days is left before the rows and removed after the keys. If the writer
+        dies in between, the next one that asks for keys finds the note and indexes what
+        those partitions hold.
+        """
+        pending = f"{self._key_path(name)}/_pending/{uuid.uuid4().hex}"
+        versions.make_folder(self.spark, f"{self._key_path(name)}/_pending")
+        versions.write_text(self.spark, pending, ",".join(sorted(d.isoformat() for d in days)))
+        self.append(name, rows)
+        self._add_keys(name, rows)
+        versions.remove(self.spark, pending)
+
+    def _repair_keys(self, name: str) -> None:
+        folder = self._key_path(name)
+        if not versions.exists(self.spark, folder):
+            # A table from before it had an index, or none at all.
+            if not self.is_empty(name):
+                self._add_keys(name, self.read(name))
+            versions.make_folder(self.spark, f"{folder}/_pending")
+        for note in versions.names(self.spark, f"{folder}/_pending"):
+            days = [date.fromisoformat(d) for d in (versions.read_text(self.spark, f"{folder}/_pending/{note}") or "").split(",") if d]
+            rows = self.read(name, days=days)
+            index = self._index(name).where(F.col(_BUCKET).isin(self.buckets_of(name, rows)))
+            keys = TABLES[name].indexed
+            seen = index.select(*[F.col(k).alias(f"__{k}") for k in keys])
+            missing = rows.join(seen, [rows[k].eqNullSafe(seen[f"__{k}"]) for k in keys], "left_anti")
+            self._add_keys(name, materialize(missing.select(*keys), "missing-keys"))
+            versions.remove(self.spark, f"{folder}/_pending/{note}")
+
+    def compact_keys(self, name: str) -> None:
+        """Publish the index anew, each bucket in few sorted files without repeats."""
+        index = self._index(name).distinct().hint("rebalance", F.col(_BUCKET)).sortWithinPartitions(_BUCKET, "key_hash")
+        versions.publish(index, self._key_path(name), (_BUCKET,))
+
+    # --- arrivals ----------------------------------------------------------
+
+    def arrivals(self, names: list[str]) -> DataFrame:
+        """Streams of raw tables as one: `table` names the one whose column holds the row."""
+        united = None
+        for name in names:
+            versions.make_folder(self.spark, self.path(name))
+            schema = T.StructType(list(TABLES[name].schema))
+            for part, kind in self._parts(name):
+                schema = schema.add(part, kind)
+            stream = self.spark.readStream.schema(schema).option("maxFileAge", FILE_AGE).parquet(self.path(name))
+            columns = [F.col(f.name) for f in TABLES[name].schema]
+            cells = [
+                (F.struct(*columns) if other == name else F.lit(None).cast(T.StructType(list(TABLES[other].schema)))).alias(other.replace(".", "_"))
+                for other in names
+            ]
+            tagged = stream.select(F.lit(name).alias("table"), *cells)
+            united = tagged if united is None else united.unionByName(tagged)
+        return united
+
+    def split_arrivals(self, batch: DataFrame, names: list[str]) -> dict[str, DataFrame]:
+        """The rows of each table in a micro-batch, written once so that files are read once."""
+        path = scratch_path(self.spark, "arrivals")
+        batch.write.partitionBy("table").parquet(path)
+        staged = self.spark.read.schema(batch.schema).parquet(path)
+        return {n: staged.where(F.col("table") == n).select(f"{n.replace('.', '_')}.*") for n in names}
+
+
+def _first_of(spec: TableSpec, day: date) -> date:
+    return day.replace(day=1) if spec.period == "month" else day
+
 
-def _day(spec: TableSpec):
-    kind = spec.schema[spec.day_of].dataType
+def period_of(name: str, df: DataFrame) -> Column:
+    """First day of the partition that a row of `df` belongs to."""
+    spec = TABLES[name]
     column = F.col(spec.day_of)
-    return F.to_date(timekeys.t_stamp(column) if isinstance(kind, T.LongType) else column)
+    if isinstance(df.schema[spec.day_of].dataType, T.LongType):
+        column = timekeys.t_stamp(column)
+    day = F.to_date(column.cast("timestamp"))
+    return F.trunc(day, "month") if spec.period == "month" else day

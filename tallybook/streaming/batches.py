@@ -31,21 +31,29 @@ def stream_normalize(
     name: str = "feed",
     valid_id=parsing.uuid_text,
     now: Callable[[], datetime] = lambda: datetime.now(timezone.utc),
+    noise_level: str = "medium",
+    mapping: dict[str, str] | None = None,
+    rules: list[normalize.Rule] | None = None,
     **trigger,
 ) -> StreamingQuery:
-    """Normalize each micro-batch into raw transactions and quarantine, and log it."""
+    """Normalize each micro-batch into raw transactions and quarantine, and log it.
+
+    The logged window is that of the batch's transaction times, or the time of the run if none
+    could be read.
+    """
 
     def load(batch: DataFrame, epoch: int) -> None:
         if batch.isEmpty():
             return
         run, at = batch_id(name, epoch), now()
         result = normalize.normalize_receipts(
-            batch, names, valid_id=valid_id, stage=lambda parsed: materialize(parsed, "parsed")
+            batch, names, rules, valid_id, stage=lambda parsed: materialize(parsed, "parsed"), mapping=mapping
         )
         clean = landing.append_transactions(store, result.clean, run, at)
         bad = landing.append_quarantine(store, result.quarantine, run, at)
+        received, first, last = result.annotated.agg(F.count(F.lit(1)), F.min("tx_timestamp"), F.max("tx_timestamp")).first()
         landing.log_batch(
-            store, run, at, at, result.annotated.count(), clean.received, bad.received, "medium", at
+            store, run, first or at, last or at, received, clean.received, bad.received, noise_level, at
         )
 
     writer = feed.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
@@ -53,24 +61,8 @@ def stream_normalize(
 
 
 def stream_transform(store: TableStore, checkpoint: str, **trigger) -> StreamingQuery:
-    """Run the transform whenever raw transactions or expenses have arrived.
+    """Run the transform whenever ticks, transactions or expenses have arrived.
 
-    Both raw tables are the stream; the oldest ingestion day of a micro-batch, of either, limits
-    what the transform reads.
+    All raw tables are the stream, and a run handles the rows of its micro-batch.
     """
-
-    def arriving(name: str) -> DataFrame:
-        if store.is_empty(name):
-            store.append(name, store.read(name))  # a stream needs the folder
-        stream = store.spark.readStream.schema(store.read(name).schema).parquet(store.path(name))
-        return stream.select("ingestion_timestamp")
-
-    arrivals = arriving("raw.transaction_event").unionByName(arriving("raw.expense_event"))
-
-    def promote_new(batch: DataFrame, epoch: int) -> None:
-        first = batch.agg(F.to_date(F.min("ingestion_timestamp"))).first()[0]
-        if first is not None:
-            promote.run_transform(store, ingested_since=first)
-
-    writer = arrivals.writeStream.foreachBatch(promote_new).option("checkpointLocation", checkpoint)
-    return writer.trigger(**(trigger or {"availableNow": True})).start()
+    return promote.start_transform(store, checkpoint, **trigger)

@@ -88,6 +88,32 @@ def test_inner_drops_unmatched_and_equals_lateral(spark):
     assert got == {(r.id, r.rate) for r in lateral.collect()}
 
 
+def test_an_hour_in_one_second(spark):
+    """A burst of ticks and transactions: slots and salts stay small, and nothing changes."""
+    rnd = random.Random(8)
+    second = START + timedelta(minutes=30)
+    right = [("EUR", "USD", second + timedelta(microseconds=rnd.randrange(1000)), float(i)) for i in range(900)]
+    right += [("EUR", "USD", second, float(i)) for i in range(300)] + [("EUR", "USD", START - timedelta(days=3), 0.5)]
+    left = [(i, "EUR", "USD", second + timedelta(microseconds=rnd.randrange(1000) if i % 2 else 500)) for i in range(800)]
+    left += [(1000 + i, "EUR", "USD", START + timedelta(minutes=i)) for i in range(20)]
+    tx, fx = frames(spark, left, right)
+    tuning = {"max_ticks": 20, "max_left": 30}
+    sides = asof.prepare(tx.repartition(3), fx, ["base_cncy", "quote_cncy"], "tx_timestamp", "fx_timestamp", ["rate"], **tuning)
+    slot = ["__slot", "__salt"]
+    ticks = sides.supply.where("__us > 0").groupBy(*slot).count()
+    rows = sides.demand.groupBy(*slot).count()
+    assert max(r["count"] for r in ticks.collect()) <= 20
+    sizes = [r["count"] for r in rows.collect()]
+    # Salts are dealt by hash, so about evenly.
+    assert max(sizes) <= 60 and sum(sizes) == len(left)
+    # Of the ticks of one time only the last is left, and copies go to crowded slots alone.
+    times = len({t for _, _, t, _ in right if t >= START})
+    assert sides.supply.where("__us > 0 and __salt = 0").count() <= times + 1
+    assert sides.supply.count() <= times + 1 + len(sizes) * 21
+    got = {r.id: (r.fx_timestamp, r.rate) for r in asof.match_fx_rates(tx, fx, **tuning).collect()}
+    assert got == brute(left, right)
+
+
 def test_copies_of_one_row_are_all_kept(spark):
     at = START + timedelta(hours=1)
     left = [(1, "EUR", "USD", at)] * 200

@@ -50,6 +50,28 @@ def test_kmeans_finds_the_groups(points):
     assert chosen[0].inertia > chosen[1].inertia
 
 
+def test_kmeans_numbers_and_inertia(points, spark):
+    """The same fit from any partitioning; sizes, inertia and nearest centres recomputed."""
+    base, df = points
+    projected = clustering.fit_components(df, NAMES, k=2).transform(df)
+    fits = clustering.fit_kmeans(projected, (1, 3, 5), restarts=4)
+    again = clustering.fit_kmeans(projected.repartition(7), (1, 3, 5), restarts=4)
+    for k, fit in fits.items():
+        assert np.array_equal(fit.centres, again[k].centres) and fit.inertia == again[k].inertia and fit.sizes == again[k].sizes
+        rows = fit.transform(projected).select("cluster", vector_to_array("components").alias("p")).collect()
+        x, own = np.array([r.p for r in rows]), np.array([r.cluster for r in rows])
+        squares = ((x[:, None, :] - fit.centres[None]) ** 2).sum(axis=2)
+        assert (own == squares.argmin(axis=1)).all()
+        assert fit.inertia == pytest.approx(squares.min(axis=1).sum(), rel=1e-6)
+        assert fit.sizes == np.bincount(own, minlength=k).tolist() == sorted(fit.sizes, reverse=True)
+        means = np.array([x[own == c].mean(axis=0) for c in range(k)])
+        assert np.allclose(means, fit.centres, atol=0.2)
+    assert np.allclose(fits[1].centres[0], [0, 0], atol=1e-6)
+    few = clustering.fit_kmeans(projected.limit(2), (3,), restarts=2)[3]
+    assert few.inertia == pytest.approx(0) and sum(few.sizes) == 2
+    assert clustering.fit_kmeans(projected.limit(0), (2,), restarts=1)[2].sizes == []
+
+
 def test_features(spark):
     schema = (
         "quarantine_id string, failure_code string, failure_count int, tx_timestamp timestamp, ingestion_timestamp timestamp, "

@@ -1,14 +1,14 @@
-import json
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallybook import refdata
-from tallybook.operators import industry
+from tallybook.operators import industry, normalize
 from tallybook.plans import promote
-from tallybook.sources import dimensions, fx_feed, landing
+from tallybook.sources import dimensions, fx_feed, landing, versions
 from tallybook.sources.tables import TableStore
 from tallybook.streaming import batches, metrics, ticks
 
@@ -91,6 +91,22 @@ def test_logs(store):
         landing.log_pipeline_run(store, {"noise_level": "low"})
 
 
+def test_rule_errors_are_violations(spark):
+    df = spark.createDataFrame([(1, 0, "x"), (2, 1, "7"), (3, 5, "8"), (4, None, "9")], "id int, q int, t string")
+    rules = [
+        normalize.Rule("RATIO", "10/q above 5", "10 / q > 5"), normalize.Rule("NUMBER", "t is no number", "cast(t as int) < 0"),
+        normalize.Rule("ELEMENT", "no such element", "array(1, 2)[q] < 1"), normalize.Rule("TEXT", "compared with a number", "t > 100"),
+    ]
+    clean, bad = normalize.split_quarantine(df, rules)
+    found = {(r.id, r.failure_code) for r in bad.collect()}
+    assert found == {
+        (1, "RATIO"), (1, "NUMBER"), (1, "TEXT"), (2, "RATIO"), (3, "ELEMENT"), (4, "RATIO"), (4, "ELEMENT"),
+    }
+    assert clean.count() == 0 and clean.columns == df.columns
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+    assert normalize.split_quarantine(df, [])[1].count() == 0
+
+
 def test_register_companies(spark):
     rows = [
         (" Zeta ", "Fintech", "Peru", "USD", 0.05), ("Acme", "Retail", "Italy", "EUR", 1.0), ("", "Retail", "Italy", "EUR", 0.5),
@@ -153,6 +169,172 @@ def test_batch_and_transform(store, spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == 3
 
 
+def reads_of(store, monkeypatch):
+    """All reads of the store from here on: table, and the executed plan of the read alone."""
+    seen, plain = [], TableStore.read
+
+    def read(self, name, **kwargs):
+        df = plain(self, name, **kwargs)
+        seen.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return df
+
+    monkeypatch.setattr(TableStore, "read", read)
+    return seen
+
+
+def test_a_second_run_reads_only_what_it_needs(store, spark, monkeypatch):
+    promote.run_batch(store, feed(spark, range(24)), fx(spark, tick_rows()), "b1", NOW, NOW)
+    rows = feed(spark, range(24, 30)).withColumn("tx_timestamp", F.lit("2026-01-09 10:00:00"))
+    promote.run_batch(store, rows, fx(spark, tick_rows(2)), "b2", NOW, NOW, transform=False)
+    seen = reads_of(store, monkeypatch)
+    assert promote.run_transform(store)["transactions"] == 6
+    names = {name for name, _ in seen}
+    assert "raw.transaction_event" not in names and "raw.expense_event" not in names
+    for name, plan in seen:
+        if name.startswith("raw.") or name in ("analytics.d_time", "analytics.f_transaction", "analytics.f_conversion", "analytics.f_expense", "analytics.f_fx_rate"):
+            # Where nothing was ever written, there are no partitions to filter.
+            assert "PartitionFilters: []" not in plan or "PushedFilters: [IsNotNull(p_" in plan or "FileScan" not in plan, (name, plan)
+    del seen[:]
+    assert set(promote.run_transform(store).values()) == {0} and not seen
+
+
+def test_waiting_conversions_are_carried(store, spark):
+    """Transactions before their first tick wait, over runs, until an earlier tick arrives."""
+    late = feed(spark, [1, 3]).withColumn("tx_timestamp", F.lit("2026-01-01 08:00:00"))
+    promote.run_batch(store, late.unionByName(feed(spark, [5])), fx(spark, tick_rows()), "b1", NOW, NOW)
+    assert {r.tx_id for r in store.read("state.waiting_conversion").collect()} == {"t1", "t3"}
+    promote.run_batch(store, feed(spark, [7]), fx(spark, tick_rows(3)), "b2", NOW, NOW)
+    assert store.read("analytics.f_conversion").count() == 2
+    early = fx(spark, [("EUR", "USD", datetime(2025, 12, 30), 3.0), ("EUR", "USD", datetime(2025, 12, 31, 23), 4.0)])
+    landing.append_fx_rates(store, early, NOW)
+    assert promote.run_transform(store)["conversions"] == 2
+    assert store.read("state.waiting_conversion").count() == 0
+    rates = store.read("analytics.f_conversion").join(store.read("analytics.f_fx_rate"), "fx_id")
+    assert {r.tx_id: float(r.rate) for r in rates.collect()} == {"t1": 4.0, "t3": 4.0, "t5": 1.09, "t7": 1.09}
+
+
+def test_a_run_that_dies_is_replayed(store, spark, monkeypatch):
+    """Whatever step fails, the next run completes it and nothing is there twice."""
+    landing.append_fx_rates(store, fx(spark, tick_rows()), NOW)
+    dimensions.seed_dimensions(store)
+    names = dimensions.known_company_names(store)
+    landing.append_transactions(store, normalize.normalize_receipts(feed(spark, range(12)), names).clean, "b", NOW)
+    for table in ("analytics.d_time", "analytics.f_conversion", "state.waiting_conversion", "analytics.f_industry"):
+        with monkeypatch.context() as patch:
+            for method in ("append", "replace"):
+                plain = getattr(TableStore, method)
+
+                def failing(self, name, df, plain=plain):
+                    plain(self, name, df)
+                    if name == table:
+                        raise RuntimeError("lost")
+
+                patch.setattr(TableStore, method, failing)
+            with pytest.raises(Exception, match="lost"):
+                promote.run_transform(store)
+    promote.run_transform(store)
+    for table, key in (("f_transaction", "tx_id"), ("f_conversion", "tx_id"), ("d_time", "time_id"), ("f_fx_rate", "fx_id")):
+        rows = store.read(f"analytics.{table}")
+        assert rows.count() == rows.select(key).distinct().count() > 0
+    assert store.read("analytics.f_transaction").count() == 12 and store.read("analytics.f_conversion").count() == 6
+    assert store.read("analytics.f_industry").groupBy("industry_id", "time_id").count().where("count > 1").isEmpty()
+
+
+def test_key_index_is_pruned_and_repaired(store, spark, monkeypatch):
+    schema = "tx_id string, c_id string, base_cncy string, quote_cncy string, amount double, fee_amount double, tx_timestamp timestamp"
+    rows = lambda ids: spark.createDataFrame([(f"t{i}", "c", "USD", None, 1.0, 0.0, NOW) for i in ids], schema)
+    evaluated = spark.sparkContext.accumulator(0)
+    counted = rows(range(50)).rdd.map(lambda r: (evaluated.add(1), r)[1])
+    assert landing.append_transactions(store, spark.createDataFrame(counted, schema), "b", NOW) == landing.Loaded(50, 50)
+    assert evaluated.value == 50
+    seen = reads_of(store, monkeypatch)
+    few = rows([3, 3, 99])
+    buckets = store.buckets_of("raw.transaction_event", few)
+    plan = store.known_keys("raw.transaction_event", buckets)._jdf.queryExecution().executedPlan().toString()
+    assert len(buckets) <= 2 and "PartitionFilters: []" not in plan and f"p_bucket#" in plan
+    assert landing.append_transactions(store, few, "c", NOW) == landing.Loaded(3, 1)
+    assert not [name for name, _ in seen if name == "raw.transaction_event"]
+    # The writer dies after the rows and before their keys.
+    with monkeypatch.context() as patch:
+        patch.setattr(TableStore, "_add_keys", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            landing.append_transactions(store, rows([200, 201]), "d", NOW)
+    assert landing.append_transactions(store, rows([200, 201, 202]), "d", NOW) == landing.Loaded(3, 1)
+    assert landing.append_transactions(store, rows([None]), "e", NOW).inserted == 1
+    store.compact_keys("raw.transaction_event")
+    assert landing.append_transactions(store, rows([0, 99, 200, None, 300]), "f", NOW) == landing.Loaded(5, 1)
+    stored = store.read("raw.transaction_event")
+    assert stored.count() == stored.select("tx_id").distinct().count() == 56
+
+
+def test_replace_publishes_whole_versions(store, spark, monkeypatch):
+    name, schema = "analytics.d_currency", "cncy_code string, cncy_name string"
+    frame = lambda n: spark.createDataFrame([(f"c{i}", str(n)) for i in range(n)], schema)
+    store.append(name, frame(3))
+    old = store.read(name)
+    store.replace(name, frame(5))
+    new = store.read(name)
+    assert (old.count(), new.count()) == (3, 5)  # a plan made before sees its own version
+    with monkeypatch.context() as patch:
+        patch.setattr(versions, "write_text", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            store.replace(name, frame(9))
+    assert store.read(name).count() == 5
+    store.replace(name, store.read(name).where("cncy_code <> 'c0'"))
+    store.append(name, frame(1))
+    assert store.read(name).count() == 5 and new.count() == 5
+    versions.clean(spark, store.path(name), retain_seconds=0)
+    assert store.read(name).count() == 5
+    assert len(versions.names(spark, f"{store.path(name)}/_versions")) <= 2
+
+
+def test_growth_is_filled_in_place(store, spark):
+    """Only the partitions with changed rows are written anew; growth is carried over their edges."""
+    day = lambda m, d: int(datetime(2026, m, d, tzinfo=timezone.utc).timestamp() * 1_000_000)
+    rows = [("i", day(m, d), 100.0 * k, None) for k, (m, d) in enumerate([(1, 30), (1, 31), (2, 1), (2, 2), (3, 1)], 1)]
+    rows[1] = (*rows[1][:3], 7.0)
+    frame = spark.createDataFrame(rows, "industry_id string, time_id bigint, total_revenue double, revenue_growth_rate double")
+    store.append("analytics.f_industry", frame)
+    files = lambda: {p: p.stat().st_mtime_ns for p in Path(store.path("analytics.f_industry")).rglob("*.parquet")}
+    before = files()
+    changed = promote.backfill_growth(store, [datetime(2026, 2, 1).date(), datetime(2026, 2, 2).date()])
+    assert changed == {datetime(2026, 2, 1).date()}
+    kept = {p for p in before if "p_day=2026-02" not in str(p)}
+    assert kept and all(files().get(p) == before[p] for p in kept)
+    growth = [float(r.revenue_growth_rate) if r.revenue_growth_rate is not None else None for r in store.read("analytics.f_industry").orderBy("time_id").collect()]
+    assert growth == [None, 7.0, 50.0, 33.3333, None]
+    assert promote.backfill_growth(store) == {datetime(2026, 3, 1).date()}
+    assert promote.backfill_growth(store) == set()
+    assert promote.backfill_growth(store, clamped=True) == {datetime(2026, 1, 1).date()}
+    assert store.read("analytics.f_industry").count() == 5
+
+
+def test_windows_are_committed_one_by_one(store, spark, monkeypatch):
+    at = [datetime(2025, 1, 1), datetime(2025, 2, 20), datetime(2025, 3, 5), datetime(2026, 1, 1)]
+    rows = spark.createDataFrame([(f"t{i}", "c", "USD", 5.0, t) for i, t in enumerate([*at, None])], "tx_id string, c_id string, base_cncy string, amount double, tx_timestamp timestamp")
+    rows = rows.withColumn("fee_amount", F.lit(None).cast("double"))
+    appended, plain = [], TableStore.append
+    monkeypatch.setattr(TableStore, "append", lambda self, name, df: (appended.append(name), plain(self, name, df))[1])
+    assert promote.promote_windows(store, rows, 60) == 4
+    assert appended == ["analytics.f_transaction"] * 3
+    assert promote.promote_windows(store, rows, 30) == 0
+    assert promote.promote_windows(store, rows.limit(0)) == 0
+
+
+def test_registering_in_batches(store, spark):
+    schema = "name string, industry string, hq_country string, default_cncy string, weight double"
+    batch = lambda names: spark.createDataFrame([(n, "Retail", "Italy", "EUR", 0.5) for n in names], schema)
+    first, _ = dimensions.register(store, batch(["Zeta", "Acme", " "]))
+    second, refused = dimensions.register(store, batch([f"N{i:04}" for i in range(1200)] + ["Acme"]))
+    keys = [r.company_key for r in store.read("state.company_key").collect()]
+    assert len(keys) == len(set(keys)) == 12 + 2 + 1201 and "COMP1000" in keys
+    assert {r.c_name: r.company_key for r in first.collect()} == {"Acme": "COMP013", "Zeta": "COMP014"}
+    assert second.where("c_name = 'Acme'").first().company_key == "COMP015" and refused.count() == 0
+    assert store.read("analytics.d_company").count() == 12 + 2 + 1201
+    names = {r.name: r.id for r in dimensions.known_company_names(store).where("name in ('ZETA', 'N0007')").collect()}
+    assert names["ZETA"] == refdata.company_id("COMP014") and len(names) == 2
+
+
 def test_late_rows_of_a_stored_day_are_not_aggregated_again(store, spark):
     promote.run_batch(store, feed(spark, range(12)), fx(spark, tick_rows()), "b1", NOW, NOW)
     before = {tuple(r) for r in store.read("analytics.f_industry").collect()}
@@ -182,7 +364,7 @@ def stream(spark, df, path):
 def test_tick_stream(store, spark, tmp_path):
     rows = tick_rows() + tick_rows(2) + [("JPY", "USD", datetime(2026, 1, 1, 9, 5), 9999.0)]
     source, checkpoint, seen = str(tmp_path / "in"), str(tmp_path / "cp"), []
-    log = metrics.IngestMetrics(str(tmp_path / "metrics.jsonl"))
+    log = metrics.IngestMetrics(spark, str(tmp_path / "metrics"), every=2)
     spark.streams.addListener(log)
     try:
         arrivals = stream(spark, fx(spark, rows), source)
@@ -200,12 +382,45 @@ def test_tick_stream(store, spark, tmp_path):
     finally:
         spark.streams.removeListener(log)
     assert sum(n.inserted for n in seen) == 9
-    entries = [json.loads(line) for line in open(tmp_path / "metrics.jsonl")]
-    assert any(e["event"] == "batch" and e["input_rows"] == len(rows) for e in entries)
+    log.flush()
+    stored = metrics.read_metrics(spark, str(tmp_path / "metrics"))
+    entries = stored.collect()
+    assert any(e.event == "batch" and e.input_rows == len(rows) and e.success for e in entries)
+    assert {e.event for e in entries} == {"started", "batch", "stopped"} and all(e.p_day == e["at"].date() for e in entries)
+    days = metrics.ingest_summary(stored).collect()
+    assert sum(d.input_rows for d in days) >= len(rows) + 2 and sum(d.failed for d in days) == 0
+    assert metrics.read_metrics(spark, str(tmp_path / "no metrics")).count() == 0
+
+
+def test_polls_are_judged_whole(store, spark, tmp_path):
+    at = lambda m: datetime(2026, 1, 1, 9, m)
+    schema = "source string, poll_id string, polled_at timestamp, n_quotes int, base_cncy string, quote_cncy string, rate double"
+    poll = lambda source, m, n, rates: [(source, f"{source}{m}", at(m), n, base, "USD", rate) for base, rate in rates.items()]
+    good, bad = {"EUR": 1.1, "GBP": 1.3}, {"EUR": 1.1, "JPY": 9999.0}
+    source, checkpoint, added = str(tmp_path / "polls"), str(tmp_path / "cp"), []
+    batches_of = [
+        poll("a", 1, 2, good) + poll("a", 2, 2, bad) + poll("a", 3, 2, {"EUR": 1.2}) + poll("a", 4, 2, good) + poll("b", 1, 1, {"CAD": 1.4}),
+        # The rest of a split poll, a replay, a late poll, another source's old time, half a bad poll.
+        poll("a", 3, 2, {"GBP": 1.2}) + poll("a", 1, 2, good) + poll("a", 0, 1, {"EUR": 1.0}) + poll("b", 2, 1, {"CAD": 1.5}) + poll("a", 5, 2, {"EUR": 1.1}),
+        poll("a", 5, 2, {"JPY": 9999.0}) + poll("a", 6, 3, good),
+        poll("a", 30, 1, {"EUR": 1.6}),
+    ]
+    for rows in batches_of:
+        arrivals = stream(spark, spark.createDataFrame(rows, schema), source)
+        ticks.stream_polls(arrivals, store, checkpoint, on_batch=lambda e, n: added.append(n.inserted)).awaitTermination()
+    assert added == [5, 3, 0, 1]
+    stored = {(r.base_cncy, r.fx_timestamp.minute) for r in store.read("raw.fx_rate").collect()}
+    assert stored == {("EUR", 1), ("GBP", 1), ("EUR", 4), ("GBP", 4), ("CAD", 1), ("EUR", 3), ("GBP", 3), ("CAD", 2), ("EUR", 30)}
+    marks = {r.source: r.mark for r in store.read("state.poll_mark").collect()}
+    assert marks == {"a": at(30), "b": at(2)} and store.read("state.poll_pending").count() == 0
+    # From a lost checkpoint everything is seen.
+    ticks.stream_polls(arrivals, store, str(tmp_path / "cp2")).awaitTermination()
+    assert store.read("raw.fx_rate").count() == 9
 
 
 def test_quotes(spark):
     df = spark.createDataFrame([("EUR/USD", "1.123456789"), ("GBP/USD", "n/a"), ("JPY/USD", None)], "symbol string, rate string")
+    df = df.unionByName(spark.createDataFrame([("EUR/JPY", "160.5")], df.schema))
     got = ticks.parse_quotes(df.withColumn("fx_timestamp", F.lit(NOW))).collect()
     assert [(r.base_cncy, r.quote_cncy, r.rate) for r in got] == [("EUR", "USD", Decimal("1.1234568"))]
 
