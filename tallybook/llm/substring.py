@@ -34,6 +34,15 @@ from tallybook.session import RowCounter, materialize
 #: Words in a repeat, at least, and words in a seed.
 LENGTH = 50
 SEED = 16
+#: Windows that are compared at once.
+WINDOWS = 1 << 14
+
+
+def _smallest(gram: np.ndarray, start: np.ndarray, width: int) -> np.ndarray:
+    """Place of the smallest of `width` values from each start on, the first one of equals."""
+    windows = np.lib.stride_tricks.sliding_window_view(gram, width)
+    parts = (start[i : i + WINDOWS] for i in range(0, len(start), WINDOWS))
+    return np.concatenate([windows[part].argmin(axis=1) + part for part in parts])
 
 
 def _anchor_reader(length: int, seed: int):
@@ -48,8 +57,7 @@ def _anchor_reader(length: int, seed: int):
                 grams = RangeHash(words.hashes, WORD_BASES[0])
                 at = np.arange(len(words.hashes) - seed + 1)
                 gram = grams(at, at + seed)
-                per_window = length - seed + 1
-                chosen = np.lib.stride_tricks.sliding_window_view(gram, per_window)[start].argmin(axis=1) + start
+                chosen = _smallest(gram, start, length - seed + 1)
                 # A run ends where the anchor changes or the next window is in another document.
                 change = np.flatnonzero((np.diff(chosen) != 0) | (np.diff(start) != 1)) + 1
                 begin = np.concatenate([[0], change])
@@ -101,6 +109,30 @@ def _window_reader(length: int):
     return windows
 
 
+def _merge(batches):
+    """doc_id, runs: runs of windows that overlap or touch united."""
+    for batch in batches:
+        runs = batch.column("runs")
+        flat = runs.flatten()
+        owner = np.repeat(np.arange(len(runs)), np.diff(runs.offsets.to_numpy()))
+        first = flat.field("first").to_numpy().astype(np.int64)
+        end = first + flat.field("count").to_numpy()
+        order = np.lexsort((first, owner))
+        owner, first, end = owner[order], first[order], end[order]
+        # Ends seen so far, with documents far apart from each other.
+        apart = owner * (int(end.max(initial=0)) + 1)
+        reach = np.maximum.accumulate(end + apart) - apart
+        fresh = np.ones(len(owner), dtype=bool)
+        fresh[1:] = (owner[1:] != owner[:-1]) | (first[1:] > reach[:-1])
+        begins = np.flatnonzero(fresh)
+        ends = np.concatenate([begins[1:], [len(owner)]])[: len(begins)] - 1
+        merged = pa.StructArray.from_arrays(
+            [pa.array(first[begins].astype(np.int32)), pa.array((reach[ends] - first[begins]).astype(np.int32))], names=["first", "count"]
+        )
+        cuts = np.searchsorted(owner[begins], np.arange(len(runs) + 1)).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(cuts), merged)], names=["doc_id", "runs"])
+
+
 def _remover(length: int, digests: bool):
     def removed(batches):
         for batch in batches:
@@ -160,10 +192,11 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> Da
 def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, digests: bool = False) -> DataFrame:
     """doc_id, n_words, n_removed and the kept words joined by a space (or their sha256)."""
     docs = docs.select("doc_id", "text")
-    # Runs are counted, not documents: they are what a broadcast would hold.
-    counted = RowCounter()
-    repeats = materialize(counted.watch(repeated_runs(docs, length, seed)), "repeats")
-    per_doc = repeats.groupBy("doc_id").agg(F.collect_list(F.struct("first", "count")).alias("runs"))
-    joined = docs.join(broadcast_if_small(per_doc, counted.rows), "doc_id", "left").select("doc_id", "text", "runs")
+    runs = repeated_runs(docs, length, seed).groupBy("doc_id").agg(F.collect_list(F.struct("first", "count")).alias("runs"))
+    # A passage is one run in a document, however many anchors it has. Runs are counted, not
+    # documents: they are what a broadcast would hold.
+    per_doc = materialize(runs.mapInArrow(_merge, "doc_id bigint, runs array<struct<first: int, count: int>>"), "repeats")
+    n_runs = per_doc.agg(F.sum(F.size("runs"))).first()[0] or 0
+    joined = docs.join(broadcast_if_small(per_doc, n_runs), "doc_id", "left").select("doc_id", "text", "runs")
     last = "kept_sha256" if digests else "kept"
     return joined.mapInArrow(_remover(length, digests), f"doc_id bigint, n_words bigint, n_removed bigint, {last} string")
