@@ -15,10 +15,13 @@ asked for, and all of them are found:
    left from there on can still make a link. In each list, the group with the largest share of
    repeated shingles is the hub, and the others are paired with it; members of a group are paired
    with its first. Those pairs are expanded to members and verified on the whole sets.
-5. Pairs of a list that are in one component by now need no test. Of the others, one side is
-   outside the hub's component; all of them that pass the filters are verified.
+5. Groups of a list whose members are all in one component by now need no test. Of the other
+   pairs of groups, one has members outside the hub's component; those that pass the filters are
+   collected once, however many lists they share, then expanded to members of different
+   components and verified.
 
-A list with many near copies thus costs about one test per member, not one per pair.
+A list with many near copies thus costs about one test per member, not one per pair. A list of
+many groups that are not linked still costs a test of the filters for each pair of groups.
 
 Shingles are told apart by 64-bit hashes and sets by 128-bit ones.
 
@@ -196,16 +199,24 @@ def similar_classes(docs: DataFrame, classes: DataFrame, rows: DataFrame, width:
         return df.join(named, key, "left").withColumn(out, F.coalesce("_label", key)).drop("_label")
 
     member = labelled(member, "class", "label")
-    lists = places.join(member, "group").select("h", "class", "label", "n", "left")
+    # Groups are paired, not their members: those of one component have one label.
+    spans = member.groupBy("group").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    lists = places.select("h", "group", "n", "left").join(spans, "group")
     lists = materialize(lists.join(labelled(hubs.select("h", "hub"), "hub", "hub_label"), "h"), "lists")
-    other = lists.select("h", *[F.col(c).alias(f"other_{c}") for c in ("class", "label", "n", "left")])
+    other = lists.select("h", *[F.col(c).alias(f"other_{c}") for c in ("group", "low", "high", "n", "left")])
     passing = _passes(F.col("n"), F.col("left"), F.col("other_n"), F.col("other_left"), percent)
-    outside = lists.where("label <> hub_label").select("h", "class", "label", "n", "left")
+    outside = lists.where("low <> hub_label or high <> hub_label").drop("hub", "hub_label")
+    apart = F.expr("low <> other_low or high <> other_high or low <> high")
     rest = (
-        outside.join(other, (outside["h"] == other["h"]) & (F.col("label") != F.col("other_label")) & passing)
-        .select(F.least("class", "other_class").alias("a"), F.greatest("class", "other_class").alias("b"))
+        outside.join(other, (outside["h"] == other["h"]) & apart & passing)
+        .select(F.least("group", "other_group").alias("g"), F.greatest("group", "other_group").alias("other_g"))
         .distinct()
     )
+    # Only then are the groups that are left expanded, to members of different components.
+    left = member.select(F.col("group").alias("g"), F.col("class").alias("a"), "label")
+    right = member.select(F.col("group").alias("other_g"), F.col("class").alias("b"), F.col("label").alias("other_label"))
+    rest = rest.join(left, "g").join(right, "other_g").where("label <> other_label")
+    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     return links.unionByName(_verified(rest, sets, percent))
 
 

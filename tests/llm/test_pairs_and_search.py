@@ -82,6 +82,64 @@ def test_overlapping_and_nested_repeats(spark, length, seed):
     assert got == kept_words(texts, length)
 
 
+def twins(n=1024):
+    """Two long words of two letters that collide under every polynomial hash modulo 2^64."""
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+    return one, one.translate(str.maketrans("ab", "ba"))
+
+
+def test_different_long_words_are_told_apart(spark):
+    for one, two in (twins(), twins(64), twins(256)):
+        rest = " ".join(f"w{i}" for i in range(80))
+        texts = {1: f"{one} {rest}", 2: f"{two} {rest}", 3: f"{rest} {one}", 4: one, 5: two, 6: " ".join([one] * 60), 7: " ".join([two] * 60)}
+        docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+        got = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in substring.remove_repeats(docs).collect()}
+        assert got == kept_words(texts, 50)
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.linked_components(docs).collect()} == components(texts)
+
+
+def test_word_hashes():
+    import random
+
+    import numpy as np
+
+    from tallybook.llm import text
+
+    chance = random.Random(2)
+    some = ["".join(chance.choice("ab\x00é") for _ in range(n)) for n in (*range(1, 40), 255, 256, 257, 300, 5000) for _ in range(4)]
+    some += ["a" * n for n in range(1, 300)] + some[:20]
+    data = " ".join(some).encode()
+    found = text.Words(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+    assert len(found.hashes) == len(some)
+    by_hash = defaultdict(set)
+    for word, value in zip(some, found.hashes.tolist()):
+        by_hash[value].add(word)
+    assert all(len(w) == 1 for w in by_hash.values()) and len(by_hash) == len(set(some))
+
+
+def test_many_repeats_are_one_run(spark):
+    passage = " ".join(f"w{i}" for i in range(400))
+    docs = spark.createDataFrame([(i, f"x{i} {passage} y{i}") for i in range(6)], "doc_id bigint, text string")
+    rows = substring.repeated_runs(docs).groupBy("doc_id").agg(F.collect_list(F.struct("first", "count")).alias("runs"))
+    merged = rows.mapInArrow(substring._merge, "doc_id bigint, runs array<struct<first: int, count: int>>").collect()
+    assert sorted((r.doc_id, [tuple(x) for x in r.runs]) for r in merged) == [(i, [(1, 351)]) for i in range(1, 6)]
+
+
+def test_unlinked_texts_of_one_pool(spark, monkeypatch):
+    """Texts built from the same passages share every shingle but link rarely: few pairs are verified."""
+    import random
+
+    chance = random.Random(6)
+    pool = [" ".join(f"p{k}w{i}" for i in range(12)) for k in range(30)]
+    texts = {i: " ".join(chance.sample(pool, 6)) for i in range(120)}
+    texts |= {200 + i: texts[i] + " end" for i in range(10)}
+    verified, plain = [], jaccard._verified
+    monkeypatch.setattr(jaccard, "_verified", lambda pairs, *a: (verified.append(pairs.count()), plain(pairs, *a))[1])
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.linked_components(docs).collect()} == components(texts)
+    assert sum(verified) < len(texts) ** 2 / 8
+
+
 def test_repeats_of_awkward_rows(spark, awkward, nothing):
     got = substring.remove_repeats(awkward).collect()
     assert len(got) == awkward.count()
