@@ -13,6 +13,9 @@ The filters hold a selection of each language's n-grams: those seen MIN_COUNT ti
 highest rate in any language, and of these the MAX_GRAMS most frequent. Every language with a
 labelled text is in the list.
 
+A text is known, for those who keep only such texts, if the evidence for its best language is
+beyond chance and not far below that language's own texts.
+
 Defined cases: a null text or one without letters gives `und` with score 0. A text with letters
 but without a vote goes to the first language, score 0; equal votes go to the first language by
 code point. Without labelled rows every text is `und`. Repeated rows are predicted alike; other
@@ -29,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallybook.llm.letters import Grams
+from tallybook.llm.letters import SLICE_BYTES, Grams
 from tallybook.llm.text import slices
 
 UNKNOWN = "und"
@@ -43,8 +46,10 @@ MIN_COUNT = 3
 #: A language with fewer n-grams in its sample is too little known to ask for repeats, and its
 #: rates count as if it had this many more: they can't take an n-gram from a large language.
 SMALL = 20_000
-#: How unlikely hits must be by chance for a text to count as known.
+#: A text is known if so few texts without any of its language's n-grams would have as many hits,
+#: and if it has this part of the hits that an unseen text of the language has.
 ALPHA = 1e-3
+KNOWN = 0.3
 #: Slots and hash functions of the filters: at most 3 * 100 000 bits of 2^20 are set, so at most
 #: one n-gram in 64 passes by chance.
 SLOTS = 1 << 20
@@ -57,15 +62,17 @@ class Filters:
 
     languages: list[str]
     planes: np.ndarray
+    #: Part of the n-grams of an unseen text of the language that its filter holds.
+    coverage: np.ndarray | None = None
 
     @staticmethod
-    def build(languages: list[str], grams: dict[str, np.ndarray]) -> Filters:
+    def build(languages: list[str], grams: dict[str, np.ndarray], coverage: np.ndarray | None = None) -> Filters:
         planes = np.zeros((max(1, -(-len(languages) // 64)), SLOTS), dtype=np.uint64)
         for number, language in enumerate(languages):
             bit = np.uint64(1) << np.uint64(number % 64)
             for slots in _probes(grams[language].astype(np.int64).view(np.uint64)):
                 planes[number // 64][slots] |= bit
-        return Filters(languages, planes)
+        return Filters(languages, planes, coverage)
 
     def chance(self) -> np.ndarray:
         """For each language, how often its filter accepts an n-gram it doesn't hold."""
@@ -98,7 +105,7 @@ def _probes(hashes: np.ndarray) -> Iterator[np.ndarray]:
 def _count_grams(batches):
     """lang, gram, n: n-grams of the labelled texts, counted per run of rows."""
     for batch in batches:
-        for rows, _, _ in slices(batch):
+        for rows, _, _ in slices(batch, size=SLICE_BYTES):
             grams = Grams(rows.column("text"), WIDTH)
             langs = np.array(rows.column("lang").to_pylist(), dtype=object)[grams.owner]
             for lang in sorted(set(langs)):
@@ -129,14 +136,17 @@ def fit(labelled: DataFrame, max_docs: int = MAX_DOCS, max_grams: int = MAX_GRAM
         .where(F.col("rate") >= F.col("best") * SHARE)
         .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram")))
         .where(F.col("rank") <= max_grams)
-        .select("lang", "gram")
+        .select("lang", "gram", "n", "total")
     )
     # Bounded: at most max_grams rows for each language.
     table = chosen.toArrow()
     langs = np.array(table.column("lang").to_pylist(), dtype=object)
-    grams = table.column("gram").to_numpy()
+    grams, n, total = (table.column(c).to_numpy() for c in ("gram", "n", "total"))
     languages = sorted({r.lang for r in sizes}, key=lambda s: s.encode())
-    return Filters.build(languages, {name: grams[langs == name] for name in languages})
+    # Each occurrence counts if the n-gram would be in the filter without it.
+    lasting = np.where(n > np.where(total < SMALL, 1, MIN_COUNT), n / np.maximum(total, 1), 0.0)
+    coverage = np.array([lasting[langs == name].sum() for name in languages])
+    return Filters.build(languages, {name: grams[langs == name] for name in languages}, coverage)
 
 
 def predict(docs: DataFrame, filters: Filters) -> DataFrame:
@@ -149,7 +159,7 @@ def predict(docs: DataFrame, filters: Filters) -> DataFrame:
         names, planes = shared.value
         model = Filters(names, planes)
         for batch in batches:
-            for rows, _, _ in slices(batch):
+            for rows, _, _ in slices(batch, size=SLICE_BYTES):
                 grams = Grams(rows.column("text"), WIDTH)
                 pred = np.full(len(rows), UNKNOWN, dtype=object)
                 score = np.zeros(len(rows))
@@ -167,3 +177,37 @@ def predict(docs: DataFrame, filters: Filters) -> DataFrame:
 
     out = schema.add("lang_pred", "string").add("score", "double")
     return docs.mapInArrow(scored, out)
+
+
+def is_known(votes: np.ndarray, letters: np.ndarray, filters: Filters) -> np.ndarray:
+    """Whether the votes show that a text is in one of the languages; their number plays no part.
+
+    For its best language a text needs more hits than chance gives (by a bound on the tail of
+    the binomial distribution, shared among the languages) and KNOWN of the hits that an unseen
+    text of that language has.
+    """
+    if not filters.languages:
+        return np.zeros(len(letters), dtype=bool)
+    best = votes.argmax(axis=1)
+    share = votes[np.arange(len(letters)), best] / np.maximum(letters, 1)
+    chance = np.clip(filters.chance()[best], 1e-12, 1 - 1e-9)
+    rate = np.clip(chance + share * (1 - chance), 1e-12, 1 - 1e-12)
+    unlike = rate * np.log(rate / chance) + (1 - rate) * np.log((1 - rate) / (1 - chance))
+    surely = (rate > chance) & (letters * unlike >= np.log(len(filters.languages) / ALPHA))
+    return (letters > 0) & surely & (share >= KNOWN * filters.coverage[best])
+
+
+def known_texts(docs: DataFrame, filters: Filters) -> DataFrame:
+    """The rows of `docs` (with a column `text`), all columns, whose text is in one of the languages."""
+    shared = docs.sparkSession.sparkContext.broadcast((filters.languages, filters.planes, filters.coverage))
+
+    def kept(batches):
+        model = Filters(*shared.value)
+        for batch in batches:
+            for rows, _, _ in slices(batch, size=SLICE_BYTES):
+                grams = Grams(rows.column("text"), WIDTH)
+                known = is_known(model.votes(grams), grams.letters, model)
+                if known.any():
+                    yield rows.filter(pa.array(known))
+
+    return docs.mapInArrow(kept, docs.schema)

@@ -10,6 +10,8 @@ import pyarrow as pa
 from tallybook.llm.text import scramble
 
 _BASE = 0x9E3779B97F4A7C15
+#: Text whose n-grams are taken at once: they need some 70 bytes a character.
+SLICE_BYTES = 1 << 18
 
 
 @functools.cache

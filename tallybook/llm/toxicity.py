@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.letters import Grams
+from tallybook.llm.letters import SLICE_BYTES, Grams
 from tallybook.llm.spread import broadcast_if_small
 from tallybook.llm.text import slices
 from tallybook.session import RowCounter, materialize
@@ -60,7 +60,7 @@ def _present(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 def _features(batches):
     """label and the sorted distinct buckets of each text, as 32-bit integers."""
     for batch in batches:
-        for rows, _, _ in slices(batch):
+        for rows, _, _ in slices(batch, size=SLICE_BYTES):
             owner, bucket = _present(rows)
             cuts = np.searchsorted(owner, np.arange(len(rows) + 1))
             packed = [bucket[a:b].astype("<i4").tobytes() for a, b in zip(cuts, cuts[1:])]
@@ -197,7 +197,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         used = np.zeros(BUCKETS, dtype=bool)
         used[buckets] = True
         for batch in batches:
-            for rows, _, _ in slices(batch):
+            for rows, _, _ in slices(batch, size=SLICE_BYTES):
                 grams = Grams(rows.column("text"), WIDTH)
                 bucket = (grams.hashes & np.uint64(BUCKETS - 1)).astype(np.int64)
                 seen = used[bucket]

@@ -99,3 +99,30 @@ def test_a_small_language_takes_nothing_and_stays(spark):
     assert found == {1: "en", 2: "yy"}
     en = filters.votes(langid.Grams(pa.array(["the wind the wind"]), langid.WIDTH))[0, 0]
     assert en == pytest.approx(13, abs=0.5)
+
+
+def test_known_texts(spark, awkward, nothing):
+    """Clean texts stay, of many languages and of small ones; junk and unlearned languages go."""
+    import random
+
+    chance = random.Random(4)
+
+    def language(seed):
+        own = random.Random(seed)
+        letters = "abcdefghijklmnopqrstuvwxyz"
+        syllables = ["".join(own.choice(letters) for _ in range(own.choice([2, 3]))) for _ in range(40)]
+        return lambda n: " ".join("".join(chance.choice(syllables) for _ in range(chance.choice([1, 2, 3]))) for _ in range(n))
+
+    makers = {f"l{k:02}": language(k) for k in range(12)}
+    rows = [(100 * k + i, make(60), name) for k, (name, make) in enumerate(makers.items()) for i in range(3 if k == 0 else 40)]
+    for learned in (sorted(makers), ["l00", "l01"]):
+        filters = langid.fit(spark.createDataFrame([r for r in rows if r[2] in learned], "doc_id bigint, text string, lang string"))
+        asked = [(1000 + i, makers[name](n), name) for i in range(20) for name in learned for n in (8, 200)]
+        junk = [(-1 - i, "".join(chance.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n)), "en") for i, n in enumerate([30, 300, 3000] * 8)]
+        junk += [(-100 - i, t, "en") for i, t in enumerate([None, "", "1234 !!", "日本語のテキスト" * 20])]
+        junk += [(-200 - i, language(99)(200), "en") for i in range(5)]
+        found = langid.known_texts(spark.createDataFrame(asked + junk, "doc_id bigint, text string, lang string"), filters)
+        assert sorted(r.text for r in found.collect()) == sorted(t for _, t, _ in asked)
+    assert langid.known_texts(nothing, filters).count() == 0
+    assert langid.known_texts(awkward, langid.fit(nothing)).count() == 0
+    assert langid.known_texts(awkward, filters).columns == awkward.columns
