@@ -2,8 +2,9 @@
 
 A text is cut where no piece of the vocabulary can span the cut; each part is encoded by an
 agenda: all adjacent symbol pairs that form a piece wait in a heap ordered by score, then by
-place, and the best pair is merged until none is left. Parts repeat a lot, so each worker keeps
-those it has met; each new part is checked against the sentencepiece library, batch by batch,
+place, and the best pair is merged until none is left. New parts of one length keep their
+agendas side by side in arrays, and each round takes the best pair of each. Parts repeat a lot, so each task keeps
+those it has met, in bounded memory; each new part is checked against the sentencepiece library, batch by batch,
 and a difference fails the task.
 
 Defined cases: a null text is the empty text, which has no ids and decodes to the empty text.
@@ -13,10 +14,12 @@ passed on or ignored as the caller asks.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import heapq
 import re
 
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -25,6 +28,11 @@ from sentencepiece import sentencepiece_model_pb2
 #: Parts that a worker remembers in each of two generations, and the longest one worth it.
 MEMORY_PARTS = 250_000
 MEMORY_LENGTH = 48
+#: Parts up to this length are encoded together with others of their length.
+TOGETHER = 64
+
+#: Texts encoded at once.
+STEP = 200
 
 _SPACE = "▁"
 
@@ -61,6 +69,8 @@ class Vocabulary:
             self.shown.append(shown)
         if any(re.search(f"[^{_SPACE}]{_SPACE}|.\n|\n.", p, re.S) for p in self.rank):
             raise ValueError("a piece spans a space or a line end, so texts can't be cut there")
+        self.names = [str(n) for n in range(len(self.shown))]
+        self.plain = {n for _, n in self.rank.values()}
         # A checked part follows this one, from which no piece reaches into it.
         self.lead = self.library.encode("a")
 
@@ -107,6 +117,76 @@ class Vocabulary:
                     ids.extend(self.bytes[b] for b in symbol.encode())
         return ids
 
+    @functools.cached_property
+    def _pairs(self) -> tuple[dict[str, int], np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers of pieces, sorted keys of pairs that form a piece, and per pair its piece and rank."""
+        number = {piece: n for piece, (_, n) in self.rank.items()}
+        size = len(self.shown)
+        found = [
+            (number[piece[:cut]] * size + number[piece[cut:]], n, self.rank[piece][0])
+            for piece, n in number.items()
+            for cut in range(1, len(piece))
+            if piece[:cut] in number and piece[cut:] in number
+        ]
+        found.sort()
+        keys, pieces, ranks = (np.array([f[i] for f in found]) for i in range(3))
+        return number, np.append(keys, np.iinfo(np.int64).max), np.append(pieces, 0), np.append(ranks, np.inf)
+
+    def _look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank (infinite if there is none) and number of the piece that each pair forms."""
+        _, keys, pieces, ranks = self._pairs
+        key = left.astype(np.int64) * len(self.shown) + right
+        at = np.searchsorted(keys, key)
+        return np.where(keys[at] == key, ranks[at], np.inf), pieces[at]
+
+    def encode_parts(self, parts: list[str]) -> list[list[int]]:
+        """Ids of many parts. Parts of one length go through the agenda together: in each round the
+        best pair of every part, the leftmost one of equals, is merged."""
+        number = self._pairs[0]
+        out: list[list[int] | None] = [None] * len(parts)
+        lengths: dict[int, list[int]] = {}
+        for at, part in enumerate(parts):
+            if len(part) <= TOGETHER and all(map(number.__contains__, part)):
+                lengths.setdefault(len(part), []).append(at)
+            else:
+                out[at] = self.encode_part(part)
+        for length, places in lengths.items():
+            symbols = np.array([number[c] for at in places for c in parts[at]], dtype=np.int32).reshape(-1, length)
+            sizes = np.full(len(places), length)
+            final = symbols.copy()
+            rows = np.arange(len(places))
+            rank, piece = self._look_up(symbols[:, :-1], symbols[:, 1:])
+            while symbols.shape[1] > 1:
+                best = rank.argmin(axis=1)
+                every = np.arange(len(rows))
+                merging = np.isfinite(rank[every, best])
+                final[rows[~merging], : symbols.shape[1]] = symbols[~merging]
+                rows, best = rows[merging], best[merging]
+                if not len(rows):
+                    break
+                symbols, rank, piece = symbols[merging], rank[merging], piece[merging]
+                every = np.arange(len(rows))
+                symbols[every, best] = piece[every, best]
+                # Close the gap of the right symbol, and of its pair.
+                place = np.arange(symbols.shape[1] - 1)
+                symbols = np.take_along_axis(symbols, place + (place > best[:, None]), axis=1)
+                sizes[rows] -= 1
+                place = place[:-1]
+                if not len(place):
+                    rank = rank[:, :0]
+                    break
+                rank = np.take_along_axis(rank, place + (place >= best[:, None]), axis=1)
+                piece = np.take_along_axis(piece, place + (place >= best[:, None]), axis=1)
+                for near in (best - 1, best):
+                    some = np.flatnonzero((near >= 0) & (near < len(place)))
+                    where = near[some]
+                    rank[some, where], piece[some, where] = self._look_up(symbols[some, where], symbols[some, where + 1])
+            if len(rows):
+                final[rows, : symbols.shape[1]] = symbols
+            for at, row, size in zip(places, final.tolist(), sizes.tolist()):
+                out[at] = row[:size]
+        return out
+
     def decode(self, ids: list[int], at_start: bool = True) -> str:
         """Text of ids; runs of byte pieces are UTF-8, and the leading space is dropped."""
         out: list[str] = []
@@ -164,16 +244,21 @@ def parts_of(text: str) -> list[str]:
 
 
 class Encoder:
-    """A vocabulary with the parts met so far, each as (ids joined by commas, decoded text)."""
+    """A vocabulary with the parts met so far, each with its ids joined by commas.
+
+    Parts decode to themselves, with blanks for the marked spaces; any that should not is kept
+    apart, with what it decodes to.
+    """
 
     def __init__(self, path: str) -> None:
         self.vocabulary = Vocabulary(path)
-        self.recent: dict[str, tuple[str, str]] = {}
-        self.older: dict[str, tuple[str, str]] = {}
+        self.recent: dict[str, str] = {}
+        self.older: dict[str, str] = {}
+        self.odd: dict[str, str] = {}
 
-    def learn(self, parts: set[str]) -> dict[str, tuple[str, str]]:
+    def learn(self, parts: set[str]) -> dict[str, str]:
         """Encode the parts that aren't remembered; those too long to keep are returned."""
-        passing: dict[str, tuple[str, str]] = {}
+        passing: dict[str, str] = {}
         new = []
         for part in parts:
             held = self.older.get(part)
@@ -181,29 +266,42 @@ class Encoder:
                 self.recent[part] = held
             else:
                 new.append(part)
-        ids = [self.vocabulary.encode_part(p) for p in new]
+        ids = self.vocabulary.encode_parts(new)
         if new:
             self.vocabulary.check(new, ids)
+        names, plain = self.vocabulary.names, self.vocabulary.plain
         for part, own in zip(new, ids):
-            value = (",".join(map(str, own)), self.vocabulary.decode(own, at_start=False))
-            (self.recent if len(part) <= MEMORY_LENGTH else passing)[part] = value
+            (self.recent if len(part) <= MEMORY_LENGTH else passing)[part] = ",".join([names[i] for i in own])
+            # Plain pieces are what was joined to form them.
+            if not plain.issuperset(own):
+                decoded = self.vocabulary.decode(own, at_start=False)
+                if decoded != part.replace(_SPACE, " "):
+                    self.odd[part] = decoded
         return passing
 
+    def forget(self) -> None:
+        """Drop what was met: the next task of this worker may be another operator's, with its own needs."""
+        self.recent, self.older, self.odd = {}, {}, {}
+
     def turn(self) -> None:
         """Bound the memory: start a new generation when the recent one is full."""
         if len(self.recent) > MEMORY_PARTS:
             self.older, self.recent = self.recent, {}
+            self.odd = {p: d for p, d in self.odd.items() if p in self.older}
 
     def encode(self, texts: list[str]) -> list[tuple[str, str]]:
         """(ids joined by commas, decoded text) of each text."""
         cut = [parts_of(t) for t in texts]
         unknown = {p for parts in cut for p in parts if p not in self.recent}
         passing = self.learn(unknown) if unknown else {}
-        recent, out = self.recent, []
-        for text, parts in zip(texts, cut):
-            values = [recent.get(p) or passing[p] for p in parts] if passing else [recent[p] for p in parts]
-            decoded = "".join([v[1] for v in values])
-            out.append((",".join([v[0] for v in values]), decoded[1:] if parts and parts[0][0] == _SPACE else decoded))
+        recent, odd, out = self.recent, self.odd, []
+        for parts in cut:
+            ids = [recent.get(p) or passing[p] for p in parts] if passing else [recent[p] for p in parts]
+            if odd:
+                decoded = "".join([odd.get(p) or p.replace(_SPACE, " ") for p in parts])
+            else:
+                decoded = "".join(parts).replace(_SPACE, " ")
+            out.append((",".join(ids), decoded[1:] if parts and parts[0][0] == _SPACE else decoded))
         self.turn()
         return out
 
@@ -235,23 +333,24 @@ def encode_texts(docs: DataFrame, model_path: str, text_column: str = "text", di
 
     def encoded(batches):
         own = encoder(model_path)
-        for batch in batches:
-            texts = batch.column(text_column).to_pylist()
-            step = 200
-            for begin in range(0, len(texts), step):
-                rows = batch.slice(begin, step)
-                results = own.encode([t or "" for t in texts[begin : begin + step]])
-                if digests:
-                    made = [
-                        pa.array([i.count(",") + 1 if i else 0 for i, _ in results], pa.int64()),
-                        pa.array([hashlib.sha256(i.encode()).hexdigest() for i, _ in results], pa.string()),
-                        pa.array([hashlib.sha256(d.encode()).hexdigest() for _, d in results], pa.string()),
-                    ]
-                else:
-                    made = [
-                        pa.array([list(map(int, i.split(","))) if i else [] for i, _ in results], pa.list_(pa.int32())),
-                        pa.array([d for _, d in results], pa.string()),
-                    ]
-                yield pa.RecordBatch.from_arrays([rows.column(c) for c in passed] + made, names=schema.names)
+        try:
+            for batch in batches:
+                for begin in range(0, batch.num_rows, STEP):
+                    rows = batch.slice(begin, STEP)
+                    results = own.encode([t or "" for t in rows.column(text_column).to_pylist()])
+                    if digests:
+                        made = [
+                            pa.array([i.count(",") + 1 if i else 0 for i, _ in results], pa.int64()),
+                            pa.array([hashlib.sha256(i.encode()).hexdigest() for i, _ in results], pa.string()),
+                            pa.array([hashlib.sha256(d.encode()).hexdigest() for _, d in results], pa.string()),
+                        ]
+                    else:
+                        made = [
+                            pa.array([list(map(int, i.split(","))) if i else [] for i, _ in results], pa.list_(pa.int32())),
+                            pa.array([d for _, d in results], pa.string()),
+                        ]
+                    yield pa.RecordBatch.from_arrays([rows.column(c) for c in passed] + made, names=schema.names)
+        finally:
+            own.forget()
 
     return docs.mapInArrow(encoded, schema)
