@@ -1095,8 +1095,22 @@ _add(
 
 
 EARLIER = datetime(2023, 12, 31, 12)
+_MADE: dict[tuple[str, str, str], TableStore] = {}
 
 
+def _made_once(make: Callable[[Domain], TableStore]) -> Callable[[Domain], TableStore]:
+    """The queries that show different tables of one store share it within an application."""
+
+    def made(d: Domain) -> TableStore:
+        name = (d.spark.sparkContext.applicationId, d.path, make.__name__)
+        if name not in _MADE:
+            _MADE[name] = make(d)
+        return _MADE[name]
+
+    return made
+
+
+@_made_once
 def _transformed(d: Domain) -> TableStore:
     """A store after loading the tables in two halves with a transform after each.
 
@@ -1222,6 +1236,7 @@ _add(
 )
 
 
+@_made_once
 def _stream_transform(d: Domain) -> TableStore:
     store = _store(d)
     companies = d.companies.withColumns({c: F.col(c).cast("string") for c in ("c_id", "industry_id")})
@@ -1344,6 +1359,7 @@ def _ingest_metrics(d: Domain) -> DataFrame:
 _add("ingest_metrics", _ingest_metrics, "input_rows:l failed:l", "select count(*) as input_rows, 0 as failed from fx_rate")
 
 
+@_made_once
 def _batch(d: Domain) -> TableStore:
     """One whole batch: normalized feed, quarantine, ticks of the window, logs and transform."""
     store = _store(d)

@@ -132,6 +132,7 @@ class TableStore:
     def append(self, name: str, df: DataFrame) -> None:
         """Add rows. Files are rebalanced by partition, so a large one is split over several
         files and small ones do not leave one file per task."""
+        self._finish_merge(name)
         spec, parts = TABLES[name], [p for p, _ in self._parts(name)]
         rows, path = self._parted(name, df), versions.current(self.spark, self.path(name))
         if parts:
@@ -144,31 +145,50 @@ class TableStore:
         """Publish a new version of a table, possibly computed from itself. Refused for raw tables."""
         if name.startswith("raw."):
             raise PermissionError(f"Raw tables are append-only: {name}")
+        self._finish_merge(name)
         versions.publish(self._parted(name, df), self.path(name), tuple(p for p, _ in self._parts(name)))
 
     def merge(self, name: str, df: DataFrame) -> set[date]:
         """Put the rows of `df` in the place of the stored ones with their key.
 
         Only partitions that hold such rows are read and rewritten; the files of all others stay
-        as they are. The rows are staged first, as they may be computed from the table. Returns
-        the first days of the periods rewritten. Readers may see some of them before others.
+        as they are. The new partitions are staged first, and a note of them is left while they
+        are put in place: if the writer dies then, the next writer of the table completes it.
+        Returns the first days of the periods rewritten. Readers may see some of them before others.
         """
         if name.startswith("raw."):
             raise PermissionError(f"Raw tables are append-only: {name}")
+        self._finish_merge(name)
         spec = TABLES[name]
         changed = materialize(self._parted(name, df), "merge")
         periods = {r[0] for r in changed.select(_DAY).distinct().collect()}
         if periods:
-            stored = self._with_parts(name).where(F.col(_DAY).isin(sorted(periods)))
+            stored = self._with_parts(name, periods).where(F.col(_DAY).isin(sorted(periods)))
             keys = changed.select(*[F.col(k).alias(f"__{k}") for k in spec.key])
             match = [stored[k].eqNullSafe(keys[f"__{k}"]) for k in spec.key]
-            kept = stored.join(keys, match, "left_anti")
-            merged = materialize(kept.unionByName(changed), "merged").hint("rebalance", F.col(_DAY))
-            path = versions.current(self.spark, self.path(name))
-            writer = merged.sortWithinPartitions(_DAY, *spec.sort).write.mode("overwrite")
-            writer.option("partitionOverwriteMode", "dynamic").partitionBy(_DAY).parquet(path)
+            path = scratch_path(self.spark, "merged")
+            stored.join(keys, match, "left_anti").unionByName(changed).write.parquet(path)
+            versions.write_text(self.spark, self._merge_note(name), path)
+            self._finish_merge(name)
         return periods
 
+    def _merge_note(self, name: str) -> str:
+        return f"{self.path(name)}/_merge"
+
+    def _finish_merge(self, name: str) -> None:
+        """Put staged partitions in place, if a merge was begun; doing it again changes nothing."""
+        staged = versions.read_text(self.spark, self._merge_note(name))
+        if staged:
+            self._overwrite(name, staged)
+            versions.remove(self.spark, self._merge_note(name))
+
+    def _overwrite(self, name: str, staged: str) -> None:
+        schema = T.StructType(list(TABLES[name].schema)).add(_DAY, T.DateType())
+        rows = self.spark.read.schema(schema).parquet(staged).hint("rebalance", F.col(_DAY))
+        writer = rows.sortWithinPartitions(_DAY, *TABLES[name].sort).write.mode("overwrite")
+        path = versions.current(self.spark, self.path(name))
+        writer.option("partitionOverwriteMode", "dynamic").partitionBy(_DAY).parquet(path)
+
     def is_empty(self, name: str) -> bool:
         return self.read(name).isEmpty()
 

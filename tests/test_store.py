@@ -288,7 +288,7 @@ def test_replace_publishes_whole_versions(store, spark, monkeypatch):
     assert len(versions.names(spark, f"{store.path(name)}/_versions")) <= 2
 
 
-def test_growth_is_filled_in_place(store, spark):
+def test_growth_is_filled_in_place(store, spark, monkeypatch):
     """Only the partitions with changed rows are written anew; growth is carried over their edges."""
     day = lambda m, d: int(datetime(2026, m, d, tzinfo=timezone.utc).timestamp() * 1_000_000)
     rows = [("i", day(m, d), 100.0 * k, None) for k, (m, d) in enumerate([(1, 30), (1, 31), (2, 1), (2, 2), (3, 1)], 1)]
@@ -307,6 +307,19 @@ def test_growth_is_filled_in_place(store, spark):
     assert promote.backfill_growth(store) == set()
     assert promote.backfill_growth(store, clamped=True) == {datetime(2026, 1, 1).date()}
     assert store.read("analytics.f_industry").count() == 5
+    # The writer dies with a partition gone: the next writer puts it back in place.
+    more = frame.where(F.col("time_id") == day(2, 1)).withColumn("revenue_growth_rate", F.lit(1.5))
+    with monkeypatch.context() as patch:
+        def lost(self, name, staged):
+            versions.remove(self.spark, f"{self.path(name)}/p_day=2026-02-01")
+            raise RuntimeError("lost")
+
+        patch.setattr(TableStore, "_overwrite", lost)
+        with pytest.raises(RuntimeError):
+            store.merge("analytics.f_industry", more)
+    store.append("analytics.f_industry", frame.where(F.col("time_id") == day(3, 1)).withColumn("industry_id", F.lit("j")))
+    stored = {(r.industry_id, r.time_id): r.revenue_growth_rate for r in store.read("analytics.f_industry").collect()}
+    assert len(stored) == 6 and float(stored["i", day(2, 1)]) == 1.5 and float(stored["i", day(2, 2)]) == 33.3333
 
 
 def test_windows_are_committed_one_by_one(store, spark, monkeypatch):
