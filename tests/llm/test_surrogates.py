@@ -95,3 +95,53 @@ def test_awkward_rows(spark, awkward, nothing):
     rows = [(None, "a 10.0.0.1"), (None, "a 10.0.0.1"), (1, "10.0.0.1"), (1, None), (1, "")]
     texts = [r.text for r in surrogates.replace_entities(spark.createDataFrame(rows, "doc_id int, text string"), KEY).collect()]
     assert len(texts) == 5 and texts.count(None) == 1 and len({t.split()[-1] for t in texts if t}) == 1
+
+
+def test_secrets_are_replaced_whole(spark):
+    token = "".join(f"aB{i % 10}_" for i in range(75))
+    jwt = "eyJhbGciOi.eyJzdWIiOiIx.SflKxwRJSMeKKF2Q"
+    texts = [
+        f"token={token} x", f"token: {jwt}, next", "password=longsecret!rest$more.", '{"password": "hunter2hunter2", "a": 1}',
+        "password: P@ssw0rd! ok", "password=--------- x", "secret: none here", "token=\u043f\u0430\u0440\u043e\u043b\u044c1 y",
+    ]
+    got, counts = replaced(spark, texts)
+    assert counts == [1, 1, 1, 1, 1, 0, 0, 1]
+    for old, new, value in zip(texts, got, [token, jwt, "longsecret!rest$more.", "hunter2hunter2", "P@ssw0rd!"]):
+        begin, end = old.split(value)
+        assert new.startswith(begin) and new.endswith(end) and len(new) == len(old)
+        changed = new[len(begin) : len(new) - len(end)]
+        assert shape(changed) == shape(value)
+        assert sum(a == b for a, b in zip(changed, value) if a.isalnum()) < len(value) / 3
+    assert got[5:7] == texts[5:7] and "\u043f" not in got[7]
+
+
+def test_values_never_run_out(spark):
+    """All values of one letter are real, and a value without letters collides with itself."""
+    parts = spark.createDataFrame([("secret", c) for c in "abcdefghijklmnopqrstuvwxyz"] + [("secret", "---")], "kind string, norm string")
+    made = {r.norm: r.made for r in surrogates.assign(parts, KEY).collect()}
+    assert len(made) == 27 == len(set(made.values())) and not set(made) & set(made.values())
+
+
+def test_names_of_any_shape(spark):
+    texts = [
+        "Frau Anna Maria Schmidt kam. Schmidt und Anna gingen, Schmidts nicht.",
+        "Mr. Jean-Paul Sartre, Mr. McDonald, Ms. O'Brien, Dr. House, Mr. SMITH and Mr. Smith. House said O'Brien.",
+        "Prof. J. Lee and Ms. Ann Lee; Lee said so, Lee-like.", "Lee and Schmidt are not known here.", "Mr. \u0418\u0432\u0430\u043d\u043e\u0432 left.",
+    ]
+    got, counts = replaced(spark, texts)
+    assert counts == [1, 6, 2, 0, 1] and got[3] == texts[3]
+    for old, new in zip(texts, got):
+        real = {"Anna", "Maria", "Schmidt", "Jean", "Paul", "Sartre", "McDonald", "Brien", "House", "SMITH", "Smith", "Ann"} if old != texts[3] else set()
+        assert not {w for w in re.findall(r"\w+", new)} & real
+    first = re.fullmatch(r"Frau (\w+) (\w+) (\w+) kam\. (\w+) und (\w+) gingen, Schmidts nicht\.", got[0]).groups()
+    assert first[3] == first[2] and first[4] == first[0] and len(set(first)) == 3
+    second = re.fullmatch(r"Mr\. ([A-Z][a-z]+-[A-Z][a-z]+) (\w+), Mr\. (\w+), Ms\. (\w+), Dr\. (\w+), Mr\. ([A-Z]+) and Mr\. (\w+)\. (\w+) said (\w+)\.", got[1]).groups()
+    assert second[5].lower() == second[6].lower() and second[7] == second[4] and second[8] == second[3]
+    third = re.fullmatch(r"Prof\. J\. (\w+) and Ms\. (\w+) (\w+); (\w+) said so, (\w+)-like\.", got[2]).groups()
+    assert third[0] == third[2] == third[3] == third[4] and third[1].endswith("a")
+    assert re.fullmatch(r"Mr\. [\u0400-\u04ff]+ left\.", got[4]) and got[4] != texts[4]
+
+
+def test_native_plan(spark, awkward):
+    plan = surrogates.replace_entities(awkward, KEY)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "NestedLoop" not in plan
