@@ -46,6 +46,14 @@ def test_pieces_equal_the_library(text):
     assert decoded == own.vocabulary.library.decode(ids) == own.vocabulary.decode(ids)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(TEXT, max_size=12))
+def test_agendas_side_by_side_equal_single_ones(texts):
+    own = pieces.encoder(PIECES).vocabulary
+    parts = [p for t in texts for p in pieces.parts_of(t.encode("utf-8", "ignore").decode())] + ["▁", "▁the", "a" * 64, "a" * 65, "▁internationalization"]
+    assert own.encode_parts(parts) == [own.encode_part(p) for p in parts]
+
+
 def test_generations_are_turned(monkeypatch):
     monkeypatch.setattr(pieces, "MEMORY_PARTS", 5)
     monkeypatch.setattr(token_files, "MEMORY_PARTS", 5)

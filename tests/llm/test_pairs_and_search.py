@@ -215,7 +215,8 @@ def test_search_in_small_blocks(spark, monkeypatch):
     """Many blocks and stripes, ties, unusable vectors and large components."""
     monkeypatch.setattr(topk, "BLOCK", 7)
     monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
-    monkeypatch.setattr(topk, "STRIPE_BLOCKS", 2)
+    monkeypatch.setattr(topk, "FIRST_BLOCKS", 2)
+    monkeypatch.setattr(topk, "CHUNK_BYTES", 40)
     monkeypatch.setattr(topk, "STEP", 2)
     vectors = {i: [((i * 37 + d * 11) % 23 - 11) / 7 for d in range(5)] for i in range(1, 90)}
     vectors |= {90: vectors[3], 91: vectors[3], 92: [0.0] * 5, 93: [1e7, -1e7, 3.0, 0.0, 1.0]}
@@ -226,3 +227,23 @@ def test_search_in_small_blocks(spark, monkeypatch):
     assert topk.top_k(df.limit(0), F.col("vec_id") % 9 == 0, 4).count() == 0
     few = df.where("vec_id in (9, 10, 11)")
     assert [r.vec_id for r in topk.top_k(few, F.col("vec_id") == 9, 4).orderBy("rank").collect()] == [v for _, _, v, _ in best({i: vectors[i] for i in (9, 10, 11)}, [9], 4)]
+
+
+def test_search_of_repeated_and_odd_vectors(spark, monkeypatch):
+    """Rows that repeat an id, vectors of another length, and floors that leave blocks out."""
+    import random
+
+    monkeypatch.setattr(topk, "BLOCK", 8)
+    monkeypatch.setattr(topk, "STEP", 2)
+    chance = random.Random(7)
+    rows = [(i, [chance.uniform(-1, 1) * (20 if i < 12 else 1) for _ in range(6)]) for i in range(150)]
+    rows += [(10, rows[3][1]), (10, [0.5] * 6), (20, rows[20][1]), (200, [1.0] * 5), (201, [1.0] * 7), (202, [9.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    whole = [(i, [math.floor(64 * x) for x in v]) for i, v in rows if len(v) == 6]
+    want = []
+    for q in sorted({i for i, _ in whole if i % 10 == 0}):
+        asked = min(v for i, v in whole if i == q)
+        scored = sorted((-sum(a * b for a, b in zip(asked, v)), i) for i, v in whole if i != q)[:5]
+        want += [(q, rank, i, -s) for rank, (s, i) in enumerate(scored, 1)]
+    got = sorted(tuple(r) for r in topk.top_k(df.repartition(3), F.col("vec_id") % 10 == 0, 5).collect())
+    assert got == want
