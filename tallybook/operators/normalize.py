@@ -31,6 +31,7 @@ class Rule:
         return refdata.DIRTY_COLUMN.get(self.code)
 
 
+# Codes and reasons must equal those of stored records.
 RULES = [
     Rule("NULL_COMPANY_ID", "c_id is null after normalization", "c_id is null"),
     Rule(

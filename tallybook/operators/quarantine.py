@@ -24,6 +24,7 @@ LOG_COLUMNS = [
 ]
 
 # Rules over rows that reached the raw table. A null currency breaks none of them.
+# Codes and reasons must equal those of stored records.
 RAW_RULES = [
     Rule("NULL_COMPANY_ID", "c_id is null", "c_id is null"),
     Rule("INVALID_AMOUNT", "amount is null or non-positive", "amount is null or amount <= 0"),

@@ -114,44 +114,6 @@ FEED_COLUMNS = {
     "taxa": "fee_amount",
 }
 
-# Accepted timestamp layouts: the shape of the text -> the pattern that reads it.
-# The shapes exclude one another, so each text is tried against one pattern only. Year-first
-# layouts with dashes (a space or `T` before the time, with or without `Z`) have no pattern:
-# a cast reads them.
-TIMESTAMP_LAYOUTS = [
-    (r"^\d{4}-\d{1,2}-\d{1,2}[ T]\d{1,2}:\d{1,2}:\d{1,2}Z?$", None),
-    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2} [AaPp][Mm]$", "M/d/yyyy h:m a"),
-    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}$", "M/d/yyyy H:m"),
-    (r"^\d{1,2}-\d{1,2}-\d{4} \d{1,2}:\d{1,2}$", "d-M-yyyy H:m"),
-    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2}$", "d/M/yyyy H:m:s"),
-    (r"^\d{4}/\d{1,2}/\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$", "yyyy/M/d H:m:s"),
-]
-
-# Layouts tried last, month first where both readings are possible.
-LAST_RESORT_LAYOUTS = [
-    (r"^\d{1,2}/\d{1,2}/\d{4}$", ["M/d/yyyy", "d/M/yyyy"]),
-    (r"^\d{1,2}-\d{1,2}-\d{4}$", ["M-d-yyyy", "d-M-yyyy"]),
-    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}$", ["d/M/yyyy H:m"]),
-    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2}$", ["M/d/yyyy H:m:s"]),
-    (r"^\d{1,2}-\d{1,2}-\d{4} \d{1,2}:\d{1,2}$", ["M-d-yyyy H:m"]),
-    (r"^\d{4}/\d{1,2}/\d{1,2}$", ["yyyy/M/d"]),
-    (r"^\d{8}$", ["yyyyMMdd"]),
-    (r"^\d{8}T\d{6}$", ["yyyyMMdd\\'T\\'HHmmss"]),
-    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2} [AaPp][Mm]$", ["M/d/yyyy h:m:s a", "d/M/yyyy h:m:s a"]),
-    (r"^\d{4}/\d{1,2}/\d{1,2} \d{1,2}:\d{1,2}$", ["yyyy/M/d H:m"]),
-    (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2} [AaPp][Mm]$", ["yyyy-M-d h:m a"]),
-    (r"^\d{1,2}\.\d{1,2}\.\d{4}$", ["M.d.yyyy", "d.M.yyyy"]),
-    (r"^\d{1,2}\.\d{1,2}\.\d{4} \d{1,2}:\d{1,2}$", ["M.d.yyyy H:m", "d.M.yyyy H:m"]),
-    (r"^\d{1,2} [A-Za-z]{3} \d{4}$", ["d MMM yyyy"]),
-    (r"^\d{1,2}-[A-Za-z]{3}-\d{4}$", ["d-MMM-yyyy"]),
-    (r"^\d{1,2} [A-Za-z]{3} \d{4} \d{1,2}:\d{1,2}$", ["d MMM yyyy H:m"]),
-    (r"^\d{1,2} [A-Za-z]{4,9} \d{4}$", ["d MMMM yyyy"]),
-    (r"^[A-Za-z]{3} \d{1,2},? \d{4}$", ["MMM d, yyyy", "MMM d yyyy"]),
-    (r"^[A-Za-z]{3} \d{1,2},? \d{4} \d{1,2}:\d{1,2} [AaPp][Mm]$", ["MMM d, yyyy h:m a", "MMM d yyyy h:m a"]),
-    (r"^[A-Za-z]{3} \d{1,2},? \d{4} \d{1,2}:\d{1,2}$", ["MMM d, yyyy H:m", "MMM d yyyy H:m"]),
-    (r"^[A-Za-z]{4,9} \d{1,2},? \d{4}$", ["MMMM d, yyyy", "MMMM d yyyy"]),
-]
-
 # Spreadsheet day 0 as days before 1970-01-01 (day 0 is 1899-12-30).
 SPREADSHEET_EPOCH_DAYS = 25569
 
