@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.llm.spread import broadcast_if_small, connected_components
-from tallybook.llm.text import WORD_BASES, RangeHash, Words, slices
+from tallybook.llm.text import WORD_BASES, RangeHash, Words, releasing, slices
 from tallybook.session import RowCounter, materialize
 
 WIDTH = 5
@@ -97,7 +97,7 @@ def _set_reader(width: int, first_part: int | None):
                     names=["doc_id", "n_shingles", "class", "check", "shingles"],
                 )
 
-    return sets
+    return releasing(sets)
 
 
 def _least_overlap(a: Column, b: Column, percent: int) -> Column:

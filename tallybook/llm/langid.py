@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybook.llm.letters import SLICE_BYTES, Grams
-from tallybook.llm.text import slices
+from tallybook.llm.text import releasing, slices
 
 UNKNOWN = "und"
 #: N-gram width; about this many documents per language are fitted on; n-grams per filter.
@@ -125,7 +125,7 @@ def fit(labelled: DataFrame, max_docs: int = MAX_DOCS, max_grams: int = MAX_GRAM
     share = labelled.sparkSession.createDataFrame(shares, "lang string, share double")
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
     sample = labelled.join(F.broadcast(share), "lang").where(place < F.col("share")).select("lang", "text")
-    counts = sample.mapInArrow(_count_grams, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counts = sample.mapInArrow(releasing(_count_grams), "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     counts = counts.withColumn("total", F.sum("n").over(Window.partitionBy("lang")))
     seen = (F.col("n") >= MIN_COUNT) | (F.col("total") < SMALL)
     counts = counts.where(seen).withColumn("rate", F.col("n") / F.col("total"))
@@ -176,7 +176,7 @@ def predict(docs: DataFrame, filters: Filters) -> DataFrame:
                 )
 
     out = schema.add("lang_pred", "string").add("score", "double")
-    return docs.mapInArrow(scored, out)
+    return docs.mapInArrow(releasing(scored), out)
 
 
 def is_known(votes: np.ndarray, letters: np.ndarray, filters: Filters) -> np.ndarray:
@@ -210,4 +210,4 @@ def known_texts(docs: DataFrame, filters: Filters) -> DataFrame:
                 if known.any():
                     yield rows.filter(pa.array(known))
 
-    return docs.mapInArrow(kept, docs.schema)
+    return docs.mapInArrow(releasing(kept), docs.schema)

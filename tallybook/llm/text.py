@@ -10,6 +10,8 @@ whatever the base is.
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -119,6 +121,23 @@ class Words:
         return index[index + width <= limit]
 
 
+def releasing(work):
+    """The same work over batches, giving unused memory back to the system when a task ends: a
+    worker is used again by other stages, which have needs of their own."""
+
+    @functools.wraps(work)
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 def slices(batch: pa.RecordBatch, column: str = "text", size: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Split a batch into runs of rows of about `size` bytes of text.
 
