@@ -5,29 +5,25 @@ shared scratch folder and reads it back as the next stage's input. All but the l
 columns of their input. Stages keep whole rows, so other columns, clashing or not, pass through.
 
 Defined cases: documents without letters are rejected by the first stage, null and empty texts
-among them; rows that repeat are copies of each other; an empty table gives an empty result.
+among them, and so are documents in which no labelled language is recognised; rows that repeat
+are copies of each other; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tallybook.llm import exact, jaccard, langid, mixing, pieces
 from tallybook.session import materialize
 
-#: Share of the votes that a document's language must have: what chance gives to one of four.
-#: Below it, and without letters, a document is rejected.
-MIN_LANGUAGE_SHARE = 0.25
+#: Parts that an encoding task remembers. Its worker has a heap beside it that earlier stages filled.
+MEMORY_PARTS = 30_000
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; filters are fitted on the documents' own labels."""
-    filters = langid.fit(docs.select("doc_id", "text", "lang"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
-    known = langid.predict(rows, filters).where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SHARE))
-    return known.select("row.*")
+    return langid.known_texts(docs, langid.fit(docs.select("doc_id", "text", "lang")))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +44,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, piece_ids and the text they decode to."""
     chosen = docs.select("doc_id", "lang", "source", "text")
-    return pieces.encode_texts(chosen, public_tokenizers.path("piece_bpe_32k.model"))
+    return pieces.encode_texts(chosen, public_tokenizers.path("piece_bpe_32k.model"), memory_parts=MEMORY_PARTS)
 
 
 STAGES = [
