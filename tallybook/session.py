@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -24,11 +25,31 @@ RUNTIME_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+#: The most that a task reads of a table or of a shuffle. Rows take up to ten times their compressed size in a
+#: sort, and a task may hold two sorts, so with Spark's own sizes (128 and 64 MB) they spill.
+TASK_BYTES = {
+    "spark.sql.files.maxPartitionBytes": 32 << 20,
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": 32 << 20,
+}
+_UNITS = {"": 0, "k": 10, "m": 20, "g": 30, "t": 40, "p": 50}
+
+
+def _bytes(size: str) -> int:
+    """Bytes of a size as Spark writes it, such as `64MB` or `16m`."""
+    number, unit = re.fullmatch(r"(\d+)([kmgtp]?)i?b?", size.strip().lower()).groups()
+    return int(number) << _UNITS[unit]
+
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings that results depend on to an existing session."""
+    """Apply the runtime settings that results depend on to an existing session.
+
+    Sizes of tasks are lowered to TASK_BYTES; smaller ones stay.
+    """
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    for key, most in TASK_BYTES.items():
+        if _bytes(spark.conf.get(key)) > most:
+            spark.conf.set(key, str(most))
     return spark
 
 

@@ -41,10 +41,15 @@ def append_new(store: TableStore, name: str, rows: DataFrame, prefer: list[str]
     """
     spec = TABLES[name]
     keys = list(spec.indexed or spec.key)
-    received, added = RowCounter(), RowCounter()
+    received, distinct, added = RowCounter(), RowCounter(), RowCounter()
     conformed = store.conform(name, rows)
     once = joins.dedupe(received.watch(conformed), keys, prefer).select(*conformed.columns)
-    staged = materialize(once, "batch")
+    staged = materialize(distinct.watch(once), "batch")
+    if spec.indexed and not store.has_keys(name):
+        # Nothing is stored, so all of the batch is new.
+        if distinct.rows:
+            store.append_indexed(name, staged, _days(name, staged))
+        return Loaded(received.rows, distinct.rows)
     if spec.indexed:
         buckets = store.buckets_of(name, staged)
         stored = store.known_keys(name, buckets)

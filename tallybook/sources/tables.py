@@ -91,15 +91,17 @@ class TableStore:
         return self._parquet(path, schema, folders)
 
     def _parquet(self, path: str, schema: T.StructType, folders: list[str] | None = None) -> DataFrame:
+        # The filter tells the optimizer that nothing is there, so joins with it go away unplanned.
+        nothing = self.spark.createDataFrame([], schema).where(F.lit(False))
         if folders is not None and not folders:
-            return self.spark.createDataFrame([], schema)
+            return nothing
         paths = [path] if folders is None else [f"{path}/{f}" for f in folders]
         try:
             return self.spark.read.schema(schema).option("basePath", path).parquet(*paths)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], schema)
+            return nothing
 
     def _columns(self, name: str, df: DataFrame) -> list[Column]:
         spec = TABLES[name]
@@ -207,6 +209,11 @@ class TableStore:
         """Buckets of the index that the keys of `df` fall in."""
         return sorted(r[0] for r in self.bucketed(name, df).select(_BUCKET).distinct().collect())
 
+    def has_keys(self, name: str) -> bool:
+        """Whether the index of a table holds any key."""
+        self._repair_keys(name)
+        return bool(versions.names(self.spark, versions.current(self.spark, self._key_path(name))))
+
     def known_keys(self, name: str, buckets: list[int]) -> DataFrame:
         """Stored keys of an indexed table, from these buckets only."""
         self._repair_keys(name)
@@ -279,10 +286,12 @@ class TableStore:
         return united
 
     def split_arrivals(self, batch: DataFrame, names: list[str]) -> dict[str, DataFrame]:
-        """The rows of each table in a micro-batch, written once so that files are read once."""
-        path = scratch_path(self.spark, "arrivals")
-        batch.write.partitionBy("table").parquet(path)
-        staged = self.spark.read.schema(batch.schema).parquet(path)
+        """The rows of each table in a micro-batch, written once so that files are read once.
+
+        A file holds one table's rows and says so in its statistics, by which readers skip it.
+        Folders by table would need every row sorted.
+        """
+        staged = materialize(batch, "arrivals")
         return {n: staged.where(F.col("table") == n).select(f"{n.replace('.', '_')}.*") for n in names}
 
 

@@ -453,3 +453,49 @@ def test_normalize_and_transform_streams(store, spark, tmp_path):
     # Replaying from a lost checkpoint adds nothing.
     batches.stream_normalize(arrivals, names, store, str(tmp_path / "cp2"), now=lambda: NOW).awaitTermination()
     assert store.read("raw.transaction_event").count() == 15
+
+
+def test_steps_read_tasks_that_fit(spark):
+    from tallybook.session import TASK_BYTES, configure
+
+    before = {key: spark.conf.get(key) for key in TASK_BYTES}
+    try:
+        for size, expected in (("128MB", 32 << 20), ("134217728b", 32 << 20), ("1m", "1m"), ("64k", "64k")):
+            for key in TASK_BYTES:
+                spark.conf.set(key, size)
+            configure(spark)
+            assert [spark.conf.get(key) for key in TASK_BYTES] == [str(expected)] * len(TASK_BYTES)
+    finally:
+        for key, size in before.items():
+            spark.conf.set(key, size)
+
+
+def test_first_batch_is_not_compared_or_copied(store, spark, monkeypatch):
+    ticks_new = fx(spark, tick_rows())
+    new = landing.joins.not_in(ticks_new, store.read("raw.fx_rate"), ["base_cncy", "quote_cncy"])
+    assert "Join" not in new._jdf.queryExecution().optimizedPlan().toString()
+
+    labels = []
+    keep = landing.materialize
+    monkeypatch.setattr(landing, "materialize", lambda df, label: labels.append(label) or keep(df, label))
+    ddl = "expense_id string, c_id string, cncy string, expense_timestamp timestamp, amount decimal(18,4), category_id string"
+    at = datetime(2026, 1, 1)
+    rows = spark.createDataFrame([(k, "c", "USD", at, Decimal(1), "0") for k in ("a", "b", "b", None, None)], ddl)
+    assert landing.append_expenses(store, rows, NOW) == landing.Loaded(5, 3)
+    assert labels == ["batch"]
+    assert landing.append_expenses(store, rows, NOW) == landing.Loaded(5, 0)
+    assert store.read("raw.expense_event").count() == 3
+
+
+def test_arrivals_are_staged_without_sorting(store, spark):
+    landing.append_fx_rates(store, fx(spark, tick_rows()), NOW)
+    seen = []
+
+    def split(batch, epoch):
+        parts = store.split_arrivals(batch, promote.SOURCES)
+        files = {f for part in parts.values() for f in part.inputFiles()}
+        seen.append(({n: part.count() for n, part in parts.items()}, [f for f in files if "table=" in f]))
+
+    stream = store.arrivals(promote.SOURCES).writeStream.foreachBatch(split)
+    stream.option("checkpointLocation", f"{store.root}/marks/x").trigger(availableNow=True).start().awaitTermination()
+    assert seen == [({"raw.fx_rate": 10, "raw.transaction_event": 0, "raw.expense_event": 0}, [])]
