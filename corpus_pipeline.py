@@ -15,7 +15,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tallybook.llm import exact, jaccard, langid, mixing, pieces
-from tallybook.session import materialize
+from tallybook.session import materialize, small_batches
 
 #: Parts that an encoding task remembers. Its worker has a heap beside it that earlier stages filled.
 MEMORY_PARTS = 30_000
@@ -23,6 +23,7 @@ MEMORY_PARTS = 30_000
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; filters are fitted on the documents' own labels."""
+    small_batches(spark)
     return langid.known_texts(docs, langid.fit(docs.select("doc_id", "text", "lang")))
 
 
@@ -33,6 +34,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of linked near copies, the document with the smallest id."""
+    small_batches(spark)
     return jaccard.one_of_each_component(docs)
 
 
@@ -43,6 +45,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, piece_ids and the text they decode to."""
+    small_batches(spark)
     chosen = docs.select("doc_id", "lang", "source", "text")
     return pieces.encode_texts(chosen, public_tokenizers.path("piece_bpe_32k.model"), memory_parts=MEMORY_PARTS)
 

@@ -53,6 +53,18 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: Rows handed to a Python worker at once. Both sides hold a whole batch, whose texts may be long.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Lower the rows of an Arrow batch to BATCH_ROWS; smaller batches stay."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+    return spark
+
+
 def build_session(app: str = "tallybook", master: str | None = None, **conf: str) -> SparkSession:
     """Create a session; on a cluster leave `master` to spark-submit."""
     builder = SparkSession.builder.appName(app)

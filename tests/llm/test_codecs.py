@@ -117,3 +117,22 @@ def test_pieces_of_awkward_rows(awkward, nothing):
 def test_unsuitable_tokenizers_are_refused():
     with pytest.raises(ValueError):
         token_files.TextEncoder(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def test_workers_get_small_batches(spark):
+    import pyarrow as pa
+
+    from tallybook.session import BATCH_ROWS, small_batches
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for rows, expected in (("10000", BATCH_ROWS), ("0", BATCH_ROWS), ("10", 10)):
+            spark.conf.set(key, rows)
+            assert int(small_batches(spark).conf.get(key)) == expected
+            sizes = spark.range(0, 3000, 1, 1).mapInArrow(
+                lambda batches: (pa.RecordBatch.from_pydict({"id": [len(b)]}) for b in batches), "id bigint"
+            )
+            assert {r.id for r in sizes.collect()} == {expected}
+    finally:
+        spark.conf.set(key, before)
