@@ -27,7 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.llm.spread import running_totals
-from tallybook.session import materialize, scratch_path
+from tallybook.llm.text import releasing
+from tallybook.session import materialize, scratch_path, small_batches
 
 #: Ids in a block, at least; a document is never split.
 BLOCK_IDS = 1 << 16
@@ -154,7 +155,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
                     names=["doc_id", "n", "ids"],
                 )
 
-    return docs.mapInArrow(encoded, "doc_id bigint, n bigint, ids binary")
+    return docs.mapInArrow(releasing(encoded), "doc_id bigint, n bigint, ids binary")
 
 
 def _narrow(ids: bytes) -> bytes:
@@ -187,10 +188,10 @@ def write_shards(docs: DataFrame, tokenizer_path: str, end_id: int, path: str) -
 
     The staged ids are shuffled once, by ranges of doc_id; the text never is.
     """
-    spark = docs.sparkSession
+    spark = small_batches(docs.sparkSession)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     staged = materialize(tokenized(docs, tokenizer_path, end_id), "ids")
-    counts = staged.mapInArrow(_id_counts, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    counts = staged.mapInArrow(releasing(_id_counts), "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
     # Bounded by the vocabulary, which every worker holds anyway.
     by_rank = counts.orderBy(F.desc("n"), "id").toArrow().column("id").to_numpy()
     spark.createDataFrame(pa.table({"rank": np.arange(len(by_rank)), "id": by_rank})).write.parquet(f"{path}/ranks")
@@ -219,7 +220,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str, end_id: int, path: str) -
         .withColumn("shard", F.spark_partition_id())
     )
     shape = "shard int, local bigint, n bigint, doc_ids array<bigint>, lengths array<int>, control binary, data binary"
-    ordered.mapInArrow(blocks, shape).write.parquet(f"{path}/blocks")
+    ordered.mapInArrow(releasing(blocks), shape).write.parquet(f"{path}/blocks")
     # Ids before each shard: one sum per shard.
     sums = spark.read.schema(shape).parquet(f"{path}/blocks").groupBy("shard").agg(F.sum("n").alias("n"))
     starts = running_totals(sums, [], [F.col("shard")], F.col("n"), 1).select("shard", F.col("before").alias("start"))
@@ -273,7 +274,7 @@ def read_shards(spark, path: str, digests: bool = False) -> DataFrame:
     blocks = spark.read.parquet(f"{path}/blocks")
     starts = spark.read.parquet(f"{path}/starts")
     return blocks.join(F.broadcast(starts), "shard").select("local", "start", "n", "doc_ids", "lengths", "control", "data").mapInArrow(
-        decoded, shape
+        releasing(decoded), shape
     )
 
 
