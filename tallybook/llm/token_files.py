@@ -19,6 +19,7 @@ come first. An empty table gives empty shards; other columns are ignored.
 from __future__ import annotations
 
 import re
+import string
 import zlib
 
 import numpy as np
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.llm.spread import running_totals
-from tallybook.llm.text import releasing
+from tallybook.llm.text import releasing, slices
 from tallybook.session import materialize, scratch_path, small_batches
 
 #: Ids in a block, at least; a document is never split.
@@ -35,6 +36,9 @@ BLOCK_IDS = 1 << 16
 #: Parts that a worker remembers in each of two generations, and the longest one worth it.
 MEMORY_PARTS = 250_000
 MEMORY_LENGTH = 48
+#: Text whose distinct parts are looked up at once, and new parts encoded as one text.
+SLICE_BYTES = 4 << 20
+NEW_PARTS = 2000
 
 # Lengths of the four values of each control byte.
 _LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8) + 1
@@ -63,11 +67,29 @@ def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
     return values
 
 
+# By the two bytes before a place: whether white space ends there (or might, in a longer character), and whether a Latin letter does.
+_AFTER_BLANK = np.zeros((256, 256), dtype=bool)
+_AFTER_LETTER = np.zeros((256, 256), dtype=bool)
+for _table, _characters in (
+    (_AFTER_BLANK, [c for c in map(chr, range(0x3001)) if c.isspace()]),
+    (_AFTER_LETTER, [c for c in map(chr, range(0x250)) if c.isalpha()]),
+):
+    for _c in _characters:
+        *_, _before, _last = b"\0" + _c.encode()
+        _table[_before if _last > 0x7F else slice(None), _last] = True
+_AFTER_BLANK, _AFTER_LETTER = _AFTER_BLANK.ravel(), _AFTER_LETTER.ravel()
+
+#: A part that can stand beside others: the space or line end that starts it is the only one in it.
+_PLAIN = re.compile(r"[ \n]\S+")
+
+
 class TextEncoder:
     """The tokenizers library behind a memory of parts.
 
     A byte-level pre-tokenizer starts anew at a space or line end that follows something other
-    than white space, so a text's ids are those of the parts between such places.
+    than white space, and at a punctuation mark (but the apostrophe) that follows a letter, so a
+    text's ids are those of the parts between such places. New parts that start with a space or
+    line end are encoded as one text: only the first id of each stands for bytes with one.
     """
 
     def __init__(self, path: str) -> None:
@@ -83,44 +105,90 @@ class TextEncoder:
             raise ValueError("only plain byte-level tokenizers can be applied part by part")
         if any(t["lstrip"] or t["rstrip"] or t["single_word"] or re.search(r"\s", t["content"]) for t in spec["added_tokens"]):
             raise ValueError("added tokens must not take in white space")
+        # Added tokens must stay whole, so no cut is made before a mark that one of them has.
+        added = "".join(t["content"] for t in spec["added_tokens"])
+        self.kind = np.zeros(256, dtype=np.uint8)
+        self.kind[[ord(c) for c in string.punctuation if c != "'" and c not in added]] = 2
+        self.kind[[0x20, 0x0A]] = 1
+        vocabulary = self.library.get_vocab(with_added_tokens=False)
+        self.begins = np.zeros(max(self.library.get_vocab().values()) + 1, dtype=bool)
+        # The byte-level alphabet's letters for a space and a line end.
+        self.begins[[i for token, i in vocabulary.items() if token.startswith(("\u0120", "\u010a"))]] = True
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        cut = [parts_of(t) for t in texts]
-        passing: dict[str, bytes] = {}
-        new = []
-        for part in {p for parts in cut for p in parts if p not in self.recent}:
-            held = self.older.get(part)
-            if held:
-                self.recent[part] = held
-            else:
-                new.append(part)
-        for part, made in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False) if new else []):
-            value = np.array(made.ids, "<u4").tobytes()
-            (self.recent if len(part) <= MEMORY_LENGTH else passing)[part] = value
-        recent = self.recent
-        if passing:
-            out = [b"".join([recent.get(p) or passing[p] for p in parts]) for parts in cut]
-        else:
-            out = [b"".join([recent[p] for p in parts]) for parts in cut]
+        raw = [t.encode() for t in texts]
+        offsets = np.cumsum([0, *map(len, raw)])
+        ids, first = self.encode_bytes(np.frombuffer(b"".join(raw), np.uint8), offsets)
+        return [ids[a:b].tobytes() for a, b in zip(first, first[1:])]
+
+    def encode_bytes(self, buffer: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts in `buffer`, which start at `offsets`, and the number of ids before each text, with the total."""
+        edges = self._edges(buffer, offsets)
+        parts = pa.LargeStringArray.from_buffers(len(edges) - 1, pa.py_buffer(edges), pa.py_buffer(buffer)).dictionary_encode()
+        values = self._ids(parts.dictionary.to_numpy(zero_copy_only=False).tolist())
+        held = np.frombuffer(b"".join(values), "<u4")
+        length = np.fromiter(map(len, values), np.int64, len(values)) >> 2
+        which = parts.indices.to_numpy()
+        own = length[which]
+        before = np.concatenate([[0], np.cumsum(own)])
+        shift = (np.cumsum(length) - length)[which] - before[:-1]
+        ids = held[np.arange(before[-1]) + np.repeat(shift, own)]
+        return ids, before[np.searchsorted(edges, offsets)]
+
+    def _edges(self, buffer: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Where parts start, and the end of the last one."""
+        edge = np.zeros(len(buffer) + 1, dtype=bool)
+        for begin in range(0, len(buffer), SLICE_BYTES):
+            kind = self.kind[buffer[begin : begin + SLICE_BYTES]]
+            inside = np.flatnonzero(kind)
+            at = inside + begin
+            before = buffer[np.maximum(at - 1, 0)].astype(np.uint16) | buffer[np.maximum(at - 2, 0)].astype(np.uint16) << 8
+            edge[at] = np.where(kind[inside] == 1, ~_AFTER_BLANK[before], _AFTER_LETTER[before])
+        edge[offsets] = True
+        return np.flatnonzero(edge)
+
+    def _ids(self, parts: list[str]) -> list[bytes]:
+        """Ids of distinct parts, remembered or new."""
+        recent, older = self.recent, self.older
+        values = list(map(recent.get, parts))
+        together: list[int] = []
+        apart: list[int] = []
+        for i, value in enumerate(values):
+            if value is None:
+                part = parts[i]
+                held = older.get(part)
+                if held is not None:
+                    recent[part] = values[i] = held
+                elif len(part) <= MEMORY_LENGTH and part[0] in " \n" and (part[1:].isalnum() or _PLAIN.fullmatch(part)):
+                    together.append(i)
+                else:
+                    apart.append(i)
+        for new, encoded in ((together, self._together), (apart, self._apart)):
+            for begin in range(0, len(new), NEW_PARTS):
+                some = new[begin : begin + NEW_PARTS]
+                for i, value in zip(some, encoded([parts[i] for i in some])):
+                    values[i] = value
+                    if len(parts[i]) <= MEMORY_LENGTH:
+                        recent[parts[i]] = value
         if len(recent) > MEMORY_PARTS:
             self.older, self.recent = recent, {}
-        return out
-
+        return values
 
-_CUT = re.compile(r"(?<=\S)(?=[ \n])")
+    def _apart(self, parts: list[str]) -> list[bytes]:
+        return [np.array(made.ids, "<u4").tobytes() for made in self.library.encode_batch_fast(parts, add_special_tokens=False)]
 
-
-def parts_of(text: str) -> list[str]:
-    """Cut before each space and line end that follows something other than white space."""
-    if not text:
-        return []
-    if "\0" not in text and not re.search(r"\s[ \n]", text):
-        cut = text.replace(" ", "\0 ").replace("\n", "\0\n")
-        return (cut[1:] if cut[0] == "\0" else cut).split("\0")
-    return _CUT.split(text)
+    def _together(self, parts: list[str]) -> list[bytes]:
+        (made,) = self.library.encode_batch_fast(["".join(parts)], add_special_tokens=False)
+        ids = np.array(made.ids, "<u4")
+        first = np.flatnonzero(self.begins[ids])
+        if len(first) != len(parts) or first[0] != 0:  # a vocabulary that leaves bytes out
+            return self._apart(parts)
+        raw = ids.tobytes()
+        places = [*(first * 4).tolist(), len(raw)]
+        return [raw[a:b] for a, b in zip(places, places[1:])]
 
 
 _encoders: dict[str, TextEncoder] = {}
@@ -143,12 +211,12 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         own = text_encoder(tokenizer_path)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for begin in range(0, len(texts), 200):
-                ids = [i + end for i in own.encode([t or "" for t in texts[begin : begin + 200]])]
+            for rows, buffer, offsets in slices(batch, size=SLICE_BYTES):
+                all_ids, first = own.encode_bytes(buffer, offsets)
+                ids = [all_ids[a:b].tobytes() + end for a, b in zip(first, first[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("doc_id").slice(begin, 200),
+                        rows.column("doc_id"),
                         pa.array([len(i) // 4 for i in ids], pa.int64()),
                         pa.array([_narrow(i) for i in ids], pa.binary()),
                     ],
@@ -172,13 +240,12 @@ def _id_counts(batches):
     """id, n: occurrences of each id, counted per task."""
     counts = np.zeros(0, dtype=np.int64)
     for batch in batches:
-        for ids in batch.column("ids").to_pylist():
-            own = np.bincount(_wide(ids))
-            if len(own) > len(counts):
-                own[: len(counts)] += counts
-                counts = own
-            else:
-                counts[: len(own)] += own
+        own = np.bincount(np.concatenate([_wide(ids) for ids in batch.column("ids").to_pylist()] or [counts[:0]]))
+        if len(own) > len(counts):
+            own[: len(counts)] += counts
+            counts = own
+        else:
+            counts[: len(own)] += own
     used = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(counts[used], pa.int64())], names=["id", "n"])
 

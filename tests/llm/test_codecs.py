@@ -64,6 +64,76 @@ def test_generations_are_turned(monkeypatch):
         assert len(one.recent) <= 12 and len(two.recent) <= 12
 
 
+#: Marks after letters, blanks of all kinds before spaces, and added tokens, whole and torn.
+CUTS = [
+    "one, two. three! it's. don't! l'été, où? é.é É;à ÷. ×.x word's'. a.'s a'.s a'll. 1.5 a1. x2,3",
+    "x\u0301. ª. ǆ, ɏ. ɐ. 中文. 中 文 Ⅷ. ñ-ñ ß$$$ word### a...b a_b (c) \"d\" e~f",
+    "a<|endoftext|>. b <|endoftext|>c|endoftext|> <|endoftext| > text|>x ĠĠ Ċa.Ġ <|endoftext|>\n<|endoftext|>",
+    "a\xa0 b\x85 c\u1680 d\u2003 e\u2028 f\u205f g\u3000 h\x1c i\u180e j\u200b k\ufeff l à é\nà\n",
+    "a  b   c\n\nd \ne\n f\t g\t\nh\r\ni  ", " ", "\n", ".", "a", "é", "", " .", "\n\n", ". .", " a", "a ", "😀 😀. a😀.",
+]
+
+
+@pytest.mark.parametrize("bounds", [{}, {"NEW_PARTS": 1}, {"NEW_PARTS": 3, "SLICE_BYTES": 5}, {"MEMORY_LENGTH": 0}, {"MEMORY_PARTS": 2}])
+def test_parts_cut_at_marks_and_encoded_together(monkeypatch, bounds):
+    for name, value in bounds.items():
+        monkeypatch.setattr(token_files, name, value)
+    own = token_files.TextEncoder(BPE)
+    expected = [np.array(own.library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in CUTS]
+    for _ in range(2):
+        assert own.encode(CUTS) == expected
+    fresh = token_files.TextEncoder(BPE)
+    assert [fresh.encode([t])[0] for t in CUTS] == expected
+    assert own.encode([]) == []
+
+
+class CountingLibrary:
+    def __init__(self, library):
+        self.library, self.texts = library, []
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += texts
+        return self.library.encode_batch_fast(texts, **options)
+
+
+def test_new_parts_reach_the_library_together_and_once():
+    own = token_files.TextEncoder(BPE)
+    own.library = CountingLibrary(own.library)
+    words = [f"{a}{b}{c}" for a in ("shon", "erth", "ouat") for b in ("ing", "ea", "ble") for c in ("né", "ly", "tion")]
+    text = " " + " ".join(words)
+    expected = own.library.library.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == expected
+    assert own.library.texts == [text]
+    # With a mark behind it a known word is not new.
+    marked = " " + ", ".join(words) + "."
+    expected = own.library.library.encode(marked, add_special_tokens=False).ids
+    assert np.frombuffer(own.encode([marked])[0], "<u4").tolist() == expected
+    assert sorted(own.library.texts[1:]) == [",", "."]
+
+
+@pytest.mark.parametrize("alphabet", ["ab", "ab\u0120", "ab\u010a", "ab\u0120\u010a."])
+def test_vocabularies_that_leave_bytes_out(tmp_path, alphabet):
+    from tokenizers import models, pre_tokenizers
+
+    library = Tokenizer(models.BPE({letter: i for i, letter in enumerate(alphabet)}, []))
+    library.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    path = str(tmp_path / "tokenizer.json")
+    library.save(path)
+    texts = ["a b\nab. ba, zz \nz", " a", "z", " z z a"]
+    expected = [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert token_files.TextEncoder(path).encode(texts) == expected
+
+
+def test_id_counts_over_batches():
+    import pyarrow as pa
+
+    rows = [[1, 2, 2], [], [70_000, 2], [0]]
+    narrow = [token_files._narrow(np.array(r, "<u4").tobytes()) for r in rows]
+    batches = [pa.RecordBatch.from_pydict({"ids": pa.array(part, pa.binary())}) for part in (narrow[:2], [], narrow[2:])]
+    (made,) = token_files._id_counts(iter(batches))
+    assert made.to_pydict() == {"id": [0, 1, 2, 70_000], "n": [1, 1, 3, 1]}
+
+
 def expected_tokens(texts):
     library, start, out = Tokenizer.from_file(BPE), 0, []
     for doc_id, text in texts:
