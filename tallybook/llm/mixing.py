@@ -33,7 +33,8 @@ def source_targets(sizes: DataFrame, partitions: int, weights=WEIGHTS, max_epoch
 
     Sources share the total by weight. Those above `max_epochs` times their size stop there, and
     the rest is shared again by weight until none is above. Each round is one aggregate; only
-    its two sums reach the driver.
+    its two sums reach the driver. Products of weights and sums are exact decimals: a sum read back
+    on the driver is a 32-bit literal if it fits, and its product may not.
     """
     ranked = running_totals(sizes, [], [F.col("source").asc_nulls_last()], F.lit(1), partitions)
     weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.pmod("before", F.lit(len(weights))) + 1).cast("int"))
@@ -45,14 +46,15 @@ def source_targets(sizes: DataFrame, partitions: int, weights=WEIGHTS, max_epoch
     spare, heavy = total, ranked.agg(F.sum("weight")).first()[0] or 1
     while True:
         # A source is capped if its share of what the others leave is above its limit.
-        capped = F.col("weight") * F.lit(spare) > F.col("most") * F.lit(heavy)
+        due = F.col("weight") * F.lit(spare).cast("decimal(38,0)")
+        capped = due > F.col("most") * F.lit(heavy).cast("decimal(38,0)")
         fixed, free = ranked.agg(
             F.sum(F.when(capped, F.col("most")).otherwise(0)), F.sum(F.when(capped, 0).otherwise(F.col("weight")))
         ).first()
         if not free or (total - fixed, free) == (spare, heavy):
             break
         spare, heavy = total - fixed, free
-    share = (F.col("weight") * F.lit(spare)).cast("double") / F.lit(heavy)
+    share = due.cast("double") / F.lit(heavy)
     return ranked.select(
         "source", "source_size", F.when(capped, F.col("most").cast("double")).otherwise(share).alias("target")
     )

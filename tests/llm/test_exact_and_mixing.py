@@ -84,3 +84,15 @@ def test_mixed_documents_hold_what_is_taken(spark):
 def test_only_blank_texts(spark):
     docs = spark.createDataFrame([(1, None, "a"), (2, "", "b"), (3, " ", None)], "doc_id bigint, text string, source string")
     assert sorted(tuple(r) for r in mixing.mix(docs).collect()) == [(i, 0, 0, 0.0, 0, 0) for i in (1, 2, 3)]
+
+
+@pytest.mark.parametrize("total", [700_000_000, 716_000_000, 1_600_000_000, 2**31 - 1, 2**31 + 1, 2**60])
+def test_targets_of_many_words(spark, total):
+    """Products of sums and weights pass 32 bits from 716 million words on, and 64 bits at the last size."""
+    sizes = {None: total // 4, "a": total // 4, "b": 5, "c": total - 2 * (total // 4) - 5}
+    df = spark.createDataFrame(list(sizes.items()), "source string, source_size bigint")
+    weight = {"a": 1, "b": 2, "c": 3, None: 1}
+    # b stops at three times its size; the others share the rest.
+    spare = total - 15
+    found = {r.source: (r.source_size, r.target) for r in mixing.source_targets(df, 4).collect()}
+    assert found == {s: (n, 15.0 if s == "b" else float(weight[s] * spare) / 5) for s, n in sizes.items()}
