@@ -11,7 +11,7 @@ from test_pairs_and_search import LOWER, components, words
 sys.path.insert(0, str(Path(__file__).parents[2]))
 import corpus_pipeline  # noqa: E402
 
-from tallybook.llm import queries  # noqa: E402
+from tallybook.llm import mixing, queries  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -85,5 +85,19 @@ def test_awkward_rows(spark, awkward, nothing):
     assert state.select("doc_id").distinct().count() > 1
 
 
+def test_mix_of_many_words(spark, monkeypatch):
+    """Words that count for 100 million each: 1.5 billion in all, of which the sources take 2.5, 5 and 7.5 documents."""
+    count = mixing.word_count
+    monkeypatch.setattr(mixing, "word_count", lambda text: count(text) * 100_000_000)
+    docs = spark.createDataFrame([(i, f"w{i}", "abc"[i % 3]) for i in range(15)], "doc_id bigint, text string, source string")
+    rows = corpus_pipeline.mix_sources(spark, docs, SMALL).collect()
+    assert Counter(r.source for r in rows) == {"a": 3, "b": 5, "c": 8}
+    copies = Counter(r.doc_id for r in rows)
+    assert sorted(copies[i] for i in range(0, 15, 3)) == [0, 0, 1, 1, 1]
+    assert all(copies[i] == 1 for i in range(1, 15, 3))
+    assert sorted(copies[i] for i in range(2, 15, 3)) == [1, 1, 2, 2, 2]
+    assert all(r.text == f"w{r.doc_id}" for r in rows)
+
+
 def test_every_operator_is_registered():
     assert sorted(int(n.split("_")[0][2:]) for n in queries.QUERIES) == list(range(1, 14))
